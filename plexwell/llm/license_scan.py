@@ -70,10 +70,10 @@ def anchors(told: dict[str, str], threshold: float) -> list[str]:
     chosen: list[str] = []
     while open_:
         words = sorted({w for grams, _ in open_ for g in grams for w in g})
-        best = max(words, key=lambda w: sum(min(sum(w in g for g in grams), need + 1) / (need + 1) for grams, need in open_) * len(w) ** 1.5)
+        best = max(words, key=lambda w: sum(min(sum(any(w in x for x in g) for g in grams), need + 1) / (need + 1) for grams, need in open_) * len(w) ** 1.5)
         chosen.append(best)
         for x in open_:
-            touched = {g for g in x[0] if best in g}
+            touched = {g for g in x[0] if any(best in w for w in g)}
             x[0] -= touched
             x[1] -= len(touched)
         open_ = [x for x in open_ if x[1] >= 0]  # covered once more than the rest is touched
