@@ -13,7 +13,7 @@ REQUIRED = ("Plate", "PoolName", "Pool_Index_i7", "Well_Index", "WellBarcode", "
 UNIQUE = ("Well_Index", "WellBarcode", "SampleID")
 SINGLE = ("Pool_Index_i7", "Genome")
 #: Genomes of older species names.
-GENOMES = {"Human": "GRCh38", "Mouse": "GRCm38", "Rat": "Rnor_6.0"}
+GENOMES = {"Human": "GRCh38", "Mouse": "mm10", "Human + mouse": "GRCh38_mm10", "Macaque": "Mmul10", "Rat": "rat6"}
 
 
 def with_genome(metadata: DataFrame, genomes: dict[str, str] | None = None) -> DataFrame:
