@@ -41,6 +41,8 @@ def dedup_lines(docs: DataFrame, keep: Sequence[str] = (), min_chars: int = 40,
         .groupBy("hash").agg(F.count("one").alias("n"), F.max("doc_id").alias("keeper"))
         .where(F.col("n") >= min_docs).select("hash", "keeper")
     )
+    # written, so that both sides of the join are dealt for it alone and its large partitions can be split
+    frequent = scratch.table(frequent, "frequent")
     drops = (
         lines.join(frequent, "hash").where(~F.col("doc_id").eqNullSafe(F.col("keeper")))
         .groupBy("doc_id", "row").agg(F.collect_set("pos").alias("drop"))
