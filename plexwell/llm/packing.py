@@ -141,7 +141,8 @@ def pack(spark: SparkSession, docs: DataFrame, path: str, capacity: int = 2048,
     for r in offsets.groupBy("length").agg(F.sum("n").alias("n")).collect():  # at most `capacity` rows
         histogram[r["length"]] = r["n"]
     table = placements(plan(histogram, capacity))
-    ranked = pieces.join(offsets.select("part", "length", "earlier"), ["part", "length"])
+    # merged, not broadcast: this table grows with the number of tasks
+    ranked = pieces.join(offsets.select("part", "length", "earlier").hint("merge"), ["part", "length"])
     return ranked.select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("nth") + F.col("earlier")).alias("rank")).mapInArrow(
         _place(table), "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
     )

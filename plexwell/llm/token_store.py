@@ -47,7 +47,7 @@ def boundaries(ids: np.ndarray, lengths: list[int]) -> list[list[int]]:
         h = h + shifted
         width *= 2
     # the low bits of a sum of left shifts depend on the latest ids only; the high ones of a window depend on all
-    cuts = np.flatnonzero((h >> np.uint64(WINDOW - 1)) % np.uint64(1 << MEAN_BITS) == 0) + 1
+    cuts = np.flatnonzero(h & np.uint64(((1 << MEAN_BITS) - 1) << (WINDOW - 1)) == 0) + 1
     out, base = [], 0
     at = np.searchsorted(cuts, np.cumsum([0, *lengths])).tolist()
     for k, n in enumerate(lengths):
@@ -99,25 +99,28 @@ def _encode(path: str, end_id: int, narrow: bool):
                 coded = [enc.encode(t or "") + end for t in texts[i : i + 256]]
                 ids = np.frombuffer(b"".join(coded), "<u4")
                 raw = ids.astype(width).tobytes()
-                cols: dict[str, list] = {k: [] for k in ("kind", "key", "payload", "doc_id", "n_tokens", "digests", "lengths")}
-
-                def put(*values, cols=cols):
-                    for c, v in zip(cols.values(), values, strict=True):
-                        c.append(v)
-
                 step, at = ids.itemsize // (2 if narrow else 1), 0
-                for doc, sizes in zip(docs[i : i + 256], boundaries(ids, [len(c) // 4 for c in coded]), strict=True):
+                fresh: dict[bytes, bytes] = {}
+                heads, sums, recipes, cuts = [], [], [], boundaries(ids, [len(c) // 4 for c in coded])
+                for sizes in cuts:
                     keys = []
                     for n in sizes:
-                        payload = raw[at : at + n * step]
-                        at += n * step
-                        keys.append(key := digest(payload))
+                        payload = raw[at : (at := at + n * step)]
+                        key = blake2b(payload, digest_size=DIGEST_BYTES).digest()
+                        keys.append(key)
                         if key not in seen:
-                            put("chunk", key, payload, None, None, None, None)
-                            if len(seen) < SEEN:
-                                seen.add(key)
-                    put("doc", part.to_bytes(4, "big") + row.to_bytes(8, "big"), None, doc, sum(sizes), keys, sizes)
+                            fresh[key] = payload
+                    heads.append(part.to_bytes(4, "big") + row.to_bytes(8, "big"))
+                    sums.append(sum(sizes))
+                    recipes.append(keys)
                     row += 1
+                if len(seen) < SEEN:
+                    seen.update(fresh)
+                none, rows = [None] * len(fresh), len(cuts)
+                cols = {
+                    "kind": ["chunk"] * len(fresh) + ["doc"] * rows, "key": [*fresh, *heads], "payload": [*fresh.values(), *[None] * rows],
+                    "doc_id": none + docs[i : i + 256], "n_tokens": none + sums, "digests": none + recipes, "lengths": none + cuts,
+                }
                 yield _batch(cols, _PACK)
 
     return run

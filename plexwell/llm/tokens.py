@@ -14,6 +14,10 @@ from array import array
 CACHE_ENTRIES = 900_000
 
 
+#: Marks that are pre-tokens of their own after a word (apostrophes may start a contraction).
+_MARKS = frozenset(".,;:!?")
+
+
 class _Unsafe(Exception):
     """The unit's ids may depend on what stands beside it."""
 
@@ -51,6 +55,7 @@ class Encoder:
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
         rest = [b for b in range(256) if b not in set(plain)]
         self.alphabet = {b: chr(256 + i) for i, b in enumerate(rest)}
+        self.space = self.alphabet[32]
         self.known = spec.get("added_tokens") is not None and (
             split is not None or pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space")
         )
@@ -64,8 +69,15 @@ class Encoder:
 
     def unit(self, unit: str, prefix: str) -> bytes:
         """Ids of a unit that follows a space (prefix " ") or starts the text (prefix "")."""
-        if unit.isascii() and unit.isalpha():
-            return self.piece(prefix + unit if self.normalizer is None else unit.lower())
+        if unit.isalpha() and (unit.isascii() or max(unit) < "\u0250"):  # letters only: one pre-token
+            told = prefix + unit if self.normalizer is None else unit.lower()
+            if self.normalizer is None or told.isalpha():  # lower-casing may bring marks
+                return self.piece(told)
+        word, last = unit[:-1], unit[-1:]
+        if last in _MARKS and word.isalpha() and (word.isascii() or max(word) < "\u0250"):  # a word and a mark: two
+            told = prefix + word if self.normalizer is None else word.lower()
+            if self.normalizer is None or told.isalpha():
+                return self.piece(told) + self.piece(last)
         if not unit or unit[0].isspace():
             if self.spaced and prefix:
                 raise _Unsafe
@@ -84,7 +96,10 @@ class Encoder:
     def piece(self, piece: str) -> bytes:
         got = self.pieces.get(piece)
         if got is None:
-            mapped = piece.encode().decode("latin-1").translate(self.alphabet)
+            if piece.isascii() and piece.isprintable():
+                mapped = piece.replace(" ", self.space)
+            else:
+                mapped = piece.encode().decode("latin-1").translate(self.alphabet)
             got = self.pieces[piece] = array("I", [t.id for t in self.model.tokenize(mapped)]).tobytes()
         return got
 
