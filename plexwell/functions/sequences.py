@@ -82,18 +82,22 @@ def adapter_at(seq: Column, adapter: str, min_overlap: int = 5) -> Column:
     """
     m = len(adapter)
     n = F.length(seq)
+    exact = F.nullif(F.regexp_instr(seq, F.lit(_with_mismatch(adapter, 0))), F.lit(0)) - 1
+    start = F.when(seq.rlike("^" + _with_mismatch(adapter[1:], 0)), 0)
+    # the rightmost hit is the leftmost one of the reversed read
+    near = n - m + 1 - F.nullif(F.regexp_instr(F.reverse(seq), F.lit(_with_mismatch(adapter[::-1], 1))), F.lit(0))
+    tail = F.right(seq, F.lit(m - 1))
+    ends = "|".join(_with_mismatch(adapter[:k], 1) for k in range(m - 1, min_overlap - 1, -1))
+    hanging = n - F.length(tail) + F.nullif(F.regexp_instr(tail, F.lit(f"(?:{ends})$")), F.lit(0)) - 1
+    return F.coalesce(exact, start, near, hanging).cast("int")
 
-    def cost(at: Column, length: int) -> Column:
-        return reduce(add, (F.when(F.substr(seq, at + k + 1, F.lit(1)).isin(b, "N"), 0).otherwise(1) for k, b in enumerate(adapter[:length])))
 
-    starts = F.when(n >= m, F.sequence(F.lit(0), n - m)).otherwise(F.array().cast("array<int>"))
-    costs = F.transform(starts, lambda i: cost(i, m))
-    exact = F.nullif(F.array_position(costs, 0), F.lit(0)) - 1
-    near = n - m - (F.nullif(F.array_position(F.reverse(costs), 1), F.lit(0)) - 1)
-    shifted = reduce(add, (F.when(F.substr(seq, F.lit(k + 1), F.lit(1)).isin(b, "N"), 0).otherwise(1) for k, b in enumerate(adapter[1:])))
-    start = F.when((n >= m - 1) & (shifted == 0), 0)
-    hanging = [F.when((n >= k) & (cost(n - k, k) <= 1), n - k) for k in range(m - 1, min_overlap - 1, -1)]
-    return F.coalesce(exact, start, near, *hanging).cast("int")
+def _with_mismatch(bases: str, allowed: int) -> str:
+    """A pattern of ``bases``, N standing for any, with at most ``allowed`` (0 or 1) of them different."""
+    told = [f"[{b}N]" for b in bases]
+    if not allowed:
+        return "".join(told)
+    return "(?:" + "|".join("".join([*told[:k], "[^\\n]", *told[k + 1 :]]) for k in range(len(bases))) + ")"
 
 
 def quality_cut(seq: Column, qual: Column, least: int, phred: int = 33) -> Column:
@@ -110,7 +114,9 @@ def quality_cut(seq: Column, qual: Column, least: int, phred: int = 33) -> Colum
         )
 
     places = F.when(F.length(seq) > 0, F.sequence(F.length(seq), F.lit(1), F.lit(-1))).otherwise(F.array().cast("array<int>"))
-    return F.aggregate(places, start, step, lambda acc: acc["cut"])
+    # a good last base that is no G ends the scan at once, which spares most reads the aggregate
+    good = (F.right(seq, F.lit(1)) != "G") & (F.ascii(F.right(qual, F.lit(1))) - phred > least)
+    return F.when(good, F.length(seq)).otherwise(F.aggregate(places, start, step, lambda acc: acc["cut"]))
 
 
 def well_id(bc_idx: Column) -> Column:

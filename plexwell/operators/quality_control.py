@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plexwell.functions.sequences import adapter_at, count_of, fuzzy_homopolymer_at, homopolymer_at, low_qualities, quality_cut
@@ -40,11 +41,11 @@ class QcRules:
 def quality_control(reads: DataFrame, rules: QcRules) -> DataFrame:
     """``reads`` with qc, and cdna_seq and cdna_qual as far as they were trimmed before the rule that failed, if any did.
 
-    Every step is a projection of its own, so Catalyst evaluates each cut once.
+    The state of a read goes from rule to rule as a bound value and comes out of a generator, so that no later filter or
+    projection takes a copy of the rules apart: each is evaluated once.
     """
     fail = F.lit(None).cast("string")
-    out = reads
-    seq, qual = F.col("cdna_seq"), F.col("cdna_qual")
+    seq = F.col("cdna_seq")
     length = F.length(seq)
     if rules.min_quality > 0:
         fail = F.when(low_qualities(F.col("umiqual"), rules.min_quality, rules.phred) > rules.min_umi_bases, "FAIL_UMI_QUALITY")
@@ -52,24 +53,31 @@ def quality_control(reads: DataFrame, rules: QcRules) -> DataFrame:
         fail = F.coalesce(fail, F.when(count_of(seq, "AT") >= rules.max_at * length, "FAIL_AT_CONTENT"), F.when(count_of(seq, "CG") >= rules.max_gc * length, "FAIL_GC_CONTENT"))
     if rules.min_length > 0:
         fail = F.coalesce(fail, F.when(length < rules.min_length, "FAIL_LENGTH"))
-    out = out.withColumn("qc", fail)
+    state = F.struct(fail.alias("qc"), seq.alias("cdna_seq"), F.col("cdna_qual").alias("cdna_qual"))
 
-    def trim(frame: DataFrame, at, reason: str) -> DataFrame:
-        at = F.when(F.col("qc").isNull(), at)
-        frame = frame.withColumn("_at", at)
-        failed = F.col("_at") < rules.min_length
-        keep = F.coalesce(F.when(failed, F.length(seq)).otherwise(F.col("_at")), F.length(seq))
-        return frame.withColumns(
-            {"qc": F.coalesce("qc", F.when(failed, reason)), "cdna_seq": F.substr(seq, F.lit(1), keep), "cdna_qual": F.substr(qual, F.lit(1), keep)}
-        ).drop("_at")
+    def bound(value: Column, f: Callable[[Column], Column]) -> Column:
+        return F.transform(F.array(value), f)[0]
+
+    def trim(state: Column, at: Callable[[Column, Column], Column], reason: str) -> Column:
+        def cut(x: Column) -> Column:
+            keep = F.when(x["at"] >= rules.min_length, x["at"]).otherwise(F.length(x["s"]["cdna_seq"]))
+            keep = F.coalesce(keep, F.length(x["s"]["cdna_seq"]))
+            return F.struct(
+                F.coalesce(x["s"]["qc"], F.when(x["at"] < rules.min_length, reason)).alias("qc"),
+                F.substr(x["s"]["cdna_seq"], F.lit(1), keep).alias("cdna_seq"), F.substr(x["s"]["cdna_qual"], F.lit(1), keep).alias("cdna_qual"),
+            )
+
+        return bound(state, lambda s: bound(F.struct(s.alias("s"), F.when(s["qc"].isNull(), at(s["cdna_seq"], s["cdna_qual"])).alias("at")), cut))
 
     if rules.homopolymer > 5:
-        at = fuzzy_homopolymer_at(seq, rules.homopolymer, rules.homopolymer_mismatch) if rules.homopolymer_mismatch else homopolymer_at(seq, rules.homopolymer)
-        out = trim(out, at, "FAIL_HOMOPOLYMER")
+        fuzzy = rules.homopolymer_mismatch
+        state = trim(state, lambda s, _: fuzzy_homopolymer_at(s, rules.homopolymer, fuzzy) if fuzzy else homopolymer_at(s, rules.homopolymer), "FAIL_HOMOPOLYMER")
     if len(rules.adapter) >= 5:
-        out = trim(out, adapter_at(seq, rules.adapter), "FAIL_ADAPTER_TRIMMING")
+        state = trim(state, lambda s, _: adapter_at(s, rules.adapter), "FAIL_ADAPTER_TRIMMING")
     if rules.min_quality > 0:
-        out = trim(out, quality_cut(seq, qual, rules.min_quality, rules.phred), "FAIL_QUALITY_TRIMMING")
+        state = trim(state, lambda s, q: quality_cut(s, q, rules.min_quality, rules.phred), "FAIL_QUALITY_TRIMMING")
+    others = [c for c in reads.columns if c not in ("qc", "cdna_seq", "cdna_qual")]
+    out = reads.select(*others, F.inline(F.array(state)))
     if rules.duplicates:
         first = F.row_number().over(Window.partitionBy("cdna_seq", "bcseq", "umiseq", F.col("qc").isNull()).orderBy("name"))
         out = out.withColumn("qc", F.coalesce("qc", F.when(first > 1, "FAIL_DUPLICATE")))
