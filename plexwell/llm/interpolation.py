@@ -28,6 +28,7 @@ from itertools import accumulate
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -61,7 +62,7 @@ def _mix(h: np.ndarray, nxt: np.ndarray) -> np.ndarray:
     return x
 
 
-_BLOCK = "block long, dev boolean, docs array<long>, parts binary, ends binary, vocab binary, tokens binary"
+_BLOCK = "block long, dev boolean, docs array<long>, parts binary, ends binary, vocab binary, n long, tokens binary"
 
 
 def _blocks(batches):
@@ -78,11 +79,11 @@ def _blocks(batches):
         x = open_.pop(dev)
         hashes = np.fromiter((xxhash.xxh64_intdigest(w) for w in x["vocab"]), np.uint64, len(x["vocab"]))
         row = {
-            "block": task << 24 | made, "dev": dev, "docs": x["docs"], "parts": bytes(x["parts"]), "ends": np.array(x["ends"], "<i8").tobytes(),
-            "vocab": np.concatenate(([END], hashes)).astype("<u8").tobytes(), "tokens": np.concatenate(x["tokens"]).astype("<i4").tobytes(),
+            "block": task << 25 | made << 1 | dev, "dev": dev, "docs": x["docs"], "parts": bytes(x["parts"]), "ends": np.array(x["ends"], "<i8").tobytes(),
+            "vocab": np.concatenate(([END], hashes)).astype("<u8").tobytes(), "n": x["n"], "tokens": zstandard.compress(np.concatenate(x["tokens"]).astype("<i4").tobytes()),
         }
         made += 1
-        kinds = (pa.int64(), pa.bool_(), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.binary(), pa.binary())
+        kinds = (pa.int64(), pa.bool_(), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.binary())
         return pa.record_batch([pa.array([v], k) for v, k in zip(row.values(), kinds, strict=True)], names=list(row))
 
     for batch in batches:
@@ -113,36 +114,37 @@ class Block:
         self.parts = np.frombuffer(row["parts"], np.uint8)
         self.ends = np.frombuffer(row["ends"], "<i8")
         vocab = np.frombuffer(row["vocab"], "<u8")
-        tokens = np.frombuffer(row["tokens"], "<i4")
+        tokens = np.frombuffer(zstandard.decompress(row["tokens"]), "<i4")
         self.starts = np.concatenate(([0], self.ends[:-1]))
         self.doc = np.repeat(np.arange(len(self.ends)), np.diff(np.concatenate(([0], self.ends))))
         # words in the order of their hashes, so that equal blocks ask alike
         used, place = np.unique(vocab, return_inverse=True)
         self.grams, self.at = [used], [place[tokens]]
-        # contexts: before a document stand start symbols, which are counted as contexts only
-        self.contexts, self.context_at = [], []
+        # before a document stand start symbols
         hashes, n = vocab[tokens], len(tokens)
-        first = np.arange(n) - self.starts[self.doc]
+        self.first = np.arange(n) - self.starts[self.doc]
         for k in range(1, order):
             ctx = np.full(n, START)
             for back in range(k, 0, -1):
-                prev = np.where(first >= back, hashes[np.maximum(np.arange(n) - back, 0)], START)
+                prev = np.where(self.first >= back, hashes[np.maximum(np.arange(n) - back, 0)], START)
                 ctx = prev if back == k else _mix(ctx, prev)
-            ctx = ctx ^ np.uint64(k)  # an order of its own: a word as context isn't the word as token
-            gram = _mix(ctx, hashes)
-            g, at = np.unique(gram, return_inverse=True)
-            c, cat = np.unique(ctx, return_inverse=True)
+            g, at = np.unique(_mix(ctx, hashes), return_inverse=True)
             self.grams.append(g)
             self.at.append(at)
-            self.contexts.append(c)
-            self.context_at.append(cat)
 
     def kinds(self):
-        """(kind, hashes, places of tokens): kind k for n-grams of order k + 1, 100 + k for contexts."""
-        for k, (g, at) in enumerate(zip(self.grams, self.at, strict=True)):
-            yield k, g, at
-        for k, (c, at) in enumerate(zip(self.contexts, self.context_at, strict=True)):
-            yield 101 + k, c, at
+        """(kind, hashes, places of tokens): kind k for n-grams of order k + 1."""
+        yield from zip(range(len(self.grams)), self.grams, self.at, strict=True)
+
+    def contexts(self, shorter: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """How often each token's context occurs, from the totals of the n-grams one shorter: the one that ends a token before.
+
+        A document's first context is as frequent as documents are, and so as end tokens (``ends``: totals of words).
+        """
+        out = np.empty_like(shorter)
+        out[1:] = shorter[:-1]
+        out[self.starts] = ends[self.ends - 1]
+        return out
 
     def by_bucket(self, hashes: np.ndarray, buckets: int):
         """Slices of sorted hashes that go to each bucket (ranges of the hash)."""
@@ -160,6 +162,23 @@ def _limits(buckets: int) -> np.ndarray:
 _ASK = "kind int, bucket int, block long, hashes binary, kept binary, deleted binary"
 
 
+def _deltas(hashes: np.ndarray) -> bytes:
+    """Sorted hashes as differences, in as many bytes as the largest needs; the first byte tells."""
+    d = np.diff(hashes, prepend=np.uint64(0))
+    first, rest = d[:1].tobytes(), d[1:]
+    width = max(1, (int(rest.max(initial=0)).bit_length() + 7) // 8)
+    return bytes([width]) + first + rest.view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+
+
+def _hashes(raw: bytes) -> np.ndarray:
+    width = raw[0]
+    rest = np.frombuffer(raw, np.uint8, offset=9).reshape(-1, width)
+    d = np.zeros((len(rest) + 1, 8), np.uint8)
+    d[0] = np.frombuffer(raw, np.uint8, 8, 1)
+    d[1:, :width] = rest
+    return np.cumsum(d.view("<u8").ravel(), dtype=np.uint64)
+
+
 def _packed(counts: np.ndarray) -> bytes:
     """Counts as one byte each where they fit, else eight; the first byte tells."""
     return b"\1" + counts.astype(np.uint8).tobytes() if counts.max(initial=0) < 256 else b"\x08" + counts.astype("<i8").tobytes()
@@ -180,7 +199,7 @@ def _ask(buckets: int, order: int):
                     kept = np.bincount(at[part == TRAIN], minlength=len(hashes))
                     deleted = np.bincount(at[part == DEV], minlength=len(hashes))
                     for b, i, j in block.by_bucket(hashes, buckets):
-                        for c, v in zip(out, (kind, b, row["block"], hashes[i:j].tobytes(), _packed(kept[i:j]), _packed(deleted[i:j])), strict=True):
+                        for c, v in zip(out, (kind, b, row["block"], _deltas(hashes[i:j]), _packed(kept[i:j]), _packed(deleted[i:j])), strict=True):
                             c.append(v)
                 kinds = (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
                 yield pa.record_batch([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names=[f.split()[0] for f in _ASK.split(", ")])
@@ -193,7 +212,7 @@ _ANSWER = "block long, kind int, bucket int, kept binary, full binary, kept_toke
 
 def _answer(group: pa.Table) -> pa.Table:
     """All that was asked of one bucket: totals in the kept and in all training documents, for each block in its order."""
-    hashes = [np.frombuffer(h, "<u8") for h in group.column("hashes").to_pylist()]
+    hashes = [_hashes(h) for h in group.column("hashes").to_pylist()]
     found, at = np.unique(np.concatenate(hashes), return_inverse=True)
     # sums of doubles are exact below 2^53
     kept = np.bincount(at, np.concatenate([_unpacked(x) for x in group.column("kept").to_pylist()]), len(found)).astype(np.int64)
@@ -205,7 +224,7 @@ def _answer(group: pa.Table) -> pa.Table:
     return pa.table(
         {
             "block": group.column("block"), "kind": group.column("kind"), "bucket": group.column("bucket"),
-            "kept": pa.array([_packed(kept[s]) for s in spans], pa.binary()), "full": pa.array([_packed(full[s]) for s in spans], pa.binary()),
+            "kept": pa.array([_packed(kept[s]) if b & 1 else None for b, s in zip(group.column("block").to_pylist(), spans, strict=True)], pa.binary()), "full": pa.array([_packed(full[s]) for s in spans], pa.binary()),
             "kept_tokens": pa.array([int(kept.sum()), *once], pa.int64()), "full_tokens": pa.array([int(full.sum()), *once], pa.int64()),
             "full_types": pa.array([int((full > 0).sum()), *once], pa.int64()), "kept_types": pa.array([int((kept > 0).sum()), *once], pa.int64()),
         }
@@ -227,6 +246,8 @@ def _counts(row: dict, answers: list[dict], order: int, field: str, buckets: int
         for b, i, j in block.by_bucket(hashes, buckets):
             total[i:j] = _unpacked(by[kind, b])
         out[kind] = total[at]
+    for k in range(1, order):
+        out[100 + k] = block.contexts(out[k - 1], out[0])
     return block, out
 
 
@@ -276,20 +297,19 @@ def learn(cells: list[tuple[int, list[int], float]], order: int, uniform: float)
 _SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
-def score(docs: DataFrame, order: int = ORDER, block_bytes: int | None = None) -> DataFrame:
+def score(docs: DataFrame, order: int = ORDER) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10) of every row."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "interpolation")
     blocks = scratch.table(text_bytes(docs, "doc_id").mapInArrow(_blocks, _BLOCK), "blocks")
-    size = blocks.agg(F.sum(F.octet_length("tokens")).alias("n")).first()["n"] or 0
-    buckets = max(1, -(-size // 4 * order // BUCKET_ENTRIES))
+    size = blocks.agg(F.sum("n").alias("n")).first()["n"] or 0
+    buckets = max(1, -(-size * order // BUCKET_ENTRIES))
     asked = blocks.mapInArrow(_ask(buckets, order), _ASK)
     answers = scratch.table(asked.groupBy("kind", "bucket").applyInArrow(_answer, _ANSWER), "answers")
     sums = answers.where("kind = 0").agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("kept_tokens", "full_tokens", "full_types", "kept_types"))).first()
     total = spark.sparkContext.broadcast(tuple(sums))
-    listed = answers.select("block", "kind", "bucket", "kept", "full")
 
-    def together(rows: DataFrame, f, schema: str) -> DataFrame:
+    def together(rows: DataFrame, listed: DataFrame, f, schema: str) -> DataFrame:
         """``f`` on each block and what was answered to it."""
         return rows.groupBy("block").cogroup(listed.groupBy("block")).applyInArrow(f, schema)
 
@@ -301,7 +321,7 @@ def score(docs: DataFrame, order: int = ORDER, block_bytes: int | None = None) -
         cells, n = np.unique(np.concatenate((bucket[:, None], _cells(p[:, 1:])), axis=1), axis=0, return_counts=True)
         return pa.table({"bucket": pa.array(cells[:, 0], pa.int32()), "places": pa.array(cells[:, 1:].tolist(), pa.list_(pa.int64())), "n": pa.array(n, pa.int64())})
 
-    histogram = together(blocks.where("dev"), gather, "bucket int, places array<long>, n long").groupBy("bucket", "places").agg(F.sum("n").alias("n"))
+    histogram = together(blocks.where("dev"), answers.where("block % 2 = 1").select("block", "kind", "bucket", "kept"), gather, "bucket int, places array<long>, n long").groupBy("bucket", "places").agg(F.sum("n").alias("n"))
     cells = [(r["bucket"], r["places"], r["n"]) for r in histogram.collect()]  # cells of the grid at most
     weights = spark.sparkContext.broadcast(learn(sorted(cells), order, 1.0 / (sums["kept_types"] + 1)))
 
@@ -322,7 +342,7 @@ def score(docs: DataFrame, order: int = ORDER, block_bytes: int | None = None) -
         )
         return pa.table([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=names)
 
-    return together(blocks.drop("dev"), finish, _SCORES)
+    return together(blocks.drop("dev"), answers.select("block", "kind", "bucket", "full"), finish, _SCORES)
 
 
 def op8_interpolation(spark, sf_dir: str) -> DataFrame:
