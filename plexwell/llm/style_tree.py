@@ -76,7 +76,7 @@ class Node:
 
 
 def walk(page: str):
-    """Yield (node, text or None): text within ``node`` in page order; None where a block begins or ends; then all nodes."""
+    """All nodes, and events in page order: (node, text) within ``node``, (node, None) where a block begins or ends."""
     root = Node("html", "", None)
     stack, nodes, at, n = [root], [root], 0, len(page)
     events = []
@@ -121,13 +121,9 @@ def walk(page: str):
         stack[-1].children.append(node.style)
         nodes.append(node)
         if tag in RAW:
-            if not (m[3] or "").endswith("/"):
+            if not (m[3] or "").endswith("/"):  # to its end tag, whatever markup it holds
                 end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
-                if tag in ("svg", "math", "noscript", "object", "canvas", "template"):
-                    # may hold markup of their own kind, which is skipped all the same
-                    at = end.end() if end else n
-                else:
-                    at = end.end() if end else n
+                at = end.end() if end else n
             continue
         if not (m[3] or "").endswith("/"):
             stack.append(node)
@@ -192,6 +188,8 @@ MIN_PAGES = 4
 MIN_IMPORTANCE = 0.3
 #: Share of the presentation in a node's importance.
 GAMMA = 0.1
+#: Tasks that a site's pages are dealt over.
+SALTS = 64
 #: Distinct (site, node, value) counts a task holds before it hands them on.
 HELD = 200_000
 
@@ -252,7 +250,10 @@ def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars (code points) of every page."""
     pages = pages.select("page_id", "url", "html")
     site = F.lower(F.coalesce(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit("")))
-    met = pages.withColumn("own_site", site).join(low_nodes(pages).withColumnRenamed("site", "low_site"), F.col("own_site") == F.col("low_site"), "left")
+    # pages of one site are dealt over SALTS tasks, and its few low nodes are copied to each
+    low = low_nodes(pages).select(F.col("site").alias("low_site"), "low", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("low_salt"))
+    salted = pages.withColumns({"own_site": site, "salt": F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int")})
+    met = salted.join(low, (F.col("own_site") == F.col("low_site")) & (F.col("salt") == F.col("low_salt")), "left")
     return met.select("page_id", "url", "html", "low").mapInArrow(_extract, "page_id long, url string, text string, n_chars long")
 
 
