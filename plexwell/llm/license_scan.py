@@ -110,7 +110,7 @@ def scan(docs: DataFrame, told: dict[str, str] | None = None, threshold: float =
     # bounded by the fixed table of notices, a few hundred bigrams
     met = grams.join(F.broadcast(known), "bigram")
     met = met.where((F.col("size") >= F.col("n") * low) & (F.col("size") <= F.col("n") * high))
-    shared = met.groupBy("doc_id", "row", "line", "license", "n", "size").agg(F.count("*").alias("shared"))
+    shared = met.groupBy("doc_id", "row", "line", "license", "n", "size").agg(F.count_distinct("bigram").alias("shared"))
     scored = shared.select("doc_id", F.col("line").cast("long").alias("line"), "license", F.round(2.0 * F.col("shared") / (F.col("n") + F.col("size")), 6).alias("dice"))
     return scored.where(F.col("dice") >= threshold)
 

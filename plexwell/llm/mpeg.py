@@ -3,7 +3,7 @@
 ``build`` stores bytes losslessly in an MPEG-1 Layer III stream: the ancillary bytes after the (empty) main data of each
 frame hold them, an ID3v2 tag tells how many there are, a Xing frame has frame and byte counts and a table of contents.
 Players hear silence. ``parse`` reads any MPEG 1, 2 or 2.5 stream of Layers I to III: damaged or foreign bytes between frames
-are skipped, a frame counts if a header that agrees with it, a tag or the end follows.
+are skipped, a frame counts if a header that agrees with it, a tag or the end follows, or if its checksum is right.
 
 A null text is empty; an empty text gives 64 zero bytes. Equal texts give equal values. Rows with equal or null doc_id
 are handled each for themselves. An empty table gives no rows. Columns other than the id and the text are ignored.
@@ -157,13 +157,13 @@ def parse(data: bytes) -> Parsed:
         h = header(data[at : at + 4])
         after = at + h.length if h else 0
         follows = h and (after == end or after < end and (n := header(data[after : after + 4])) is not None and (n.version, n.layer, n.rate) == (h.version, h.layer, h.rate))
-        if not follows:
+        state = crc_state(data, at, h) if h and after <= end else -1
+        if not (follows or state == 1):
             nxt = data.find(b"\xff", at + 1, end)
             nxt = end if nxt < 0 else nxt
             out.skipped += nxt - at
             at = nxt
             continue
-        state = crc_state(data, at, h)
         out.good += state == 1
         out.bad += state == 0
         body = at + 4 + 2 * h.protected + (h.side if h.layer == 3 else 0)
