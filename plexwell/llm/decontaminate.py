@@ -165,7 +165,7 @@ _FOUND = "n_words long, hits array<struct<a:int,b:int>>, items array<string>, lo
 
 
 def _scan(shared, passed: int, only_hits: bool):
-    """The first ``passed`` columns go through as they are; the next is the text as bytes."""
+    """The first ``passed`` columns go through as they are; the last column is the text as bytes."""
     kind = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
 
     def run(batches):
@@ -174,7 +174,7 @@ def _scan(shared, passed: int, only_hits: bool):
         for batch in batches:
             cols: list[list] = [[], [], [], []]
             where = []
-            for row, text in enumerate(batch.column(passed).to_pylist()):
+            for row, text in enumerate(batch.column(batch.num_columns - 1).to_pylist()):
                 ws = words_of(text)
                 hits: list[tuple[int, int]] = []
                 items: set[str] = set()
@@ -188,10 +188,11 @@ def _scan(shared, passed: int, only_hits: bool):
                 where.append(row)
                 for c, v in zip(cols, (len(ws), [{"a": a, "b": b} for a, b in _merge(hits)], sorted(items), longest), strict=True):
                     c.append(v)
-            through = pa.Table.from_batches([batch.select(list(range(passed)))]).take(pa.array(where, pa.int64())).combine_chunks()
-            arrays = [c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in through.columns]
+            through = batch.select(list(range(passed)))
+            through = through.take(pa.array(where, pa.int64())) if only_hits else through
+            arrays = list(through.columns)
             arrays += [pa.array(c, k) for c, k in zip(cols, (pa.int64(), kind, pa.list_(pa.string()), pa.int32()), strict=True)]
-            yield pa.record_batch(arrays, names=[*through.column_names, "n_words", "hits", "items", "longest"])
+            yield pa.record_batch(arrays, names=[*through.schema.names, "n_words", "hits", "items", "longest"])
 
     return run
 
@@ -212,10 +213,9 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, keep: Sequence[str
         return spark.sparkContext.broadcast(Automaton([(r["item"], words_of(bytes(r["body"]))) for r in rows], window))
 
     n = len(docs.columns)
-    carried = docs.select("doc_id", *keep, F.col("body").alias("through"), "body")
-    schema = f"{kinds.rpartition(', ')[0] if n > 1 else ''}, `body` binary, {_FOUND}"
+    schema = f"{kinds}, {_FOUND}"
     if blocks == 1:
-        return carried.mapInArrow(lambda it, f=_scan(shared(0), n, False): (b.rename_columns([*b.column_names[: n - 1], "body", *b.column_names[n:]]) for b in f(it)), schema)
+        return docs.mapInArrow(_scan(shared(0), n, False), schema)
     parts = None
     keyed = docs.select(F.struct("doc_id", F.md5("body").alias("sum")).alias("row"), "body")
     for block in range(blocks):
@@ -223,8 +223,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, keep: Sequence[str
         parts = part if parts is None else parts.unionByName(part)
     merged = parts.groupBy("row").agg(F.flatten(F.collect_set("hits")).alias("hits"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"), F.max("longest").alias("longest"))
     empty = spark.sparkContext.broadcast(Automaton([], window))
-    counted = carried.mapInArrow(lambda it, f=_scan(empty, n, False): (b.rename_columns([*b.column_names[: n - 1], "body", *b.column_names[n:]]) for b in f(it)), schema)
-    counted = counted.drop("hits", "items", "longest").withColumn("row", F.struct("doc_id", F.md5("body").alias("sum")))
+    counted = docs.mapInArrow(_scan(empty, n, False), schema).drop("hits", "items", "longest").withColumn("row", F.struct("doc_id", F.md5("body").alias("sum")))
     # ranges of several blocks may overlap: sorted, then folded into disjoint ones
     fold = F.aggregate(
         F.array_sort("hits"), F.array().cast("array<struct<a:int,b:int>>"),

@@ -24,6 +24,8 @@ from .common import Scratch, id_crc, text_bytes
 
 #: Labelled rows the model is fitted on at most, those of the least hash of doc_id. Only fitting is bounded.
 MAX_LABELLED = 100_000
+#: Texts a task turns to features at a time.
+SLICE = 1000
 BINS, ROUNDS, PAIRS, PAIR_ROUNDS, PAIR_BINS, RATE = 32, 120, 6, 60, 8, 0.15
 
 FEATURES = (
@@ -207,14 +209,19 @@ def score(docs: DataFrame, labels: DataFrame, keep: Sequence[str] = ()) -> DataF
 
         scored = described.mapInArrow(run, "doc_id long, score double")
     else:
-        told = docs.select("doc_id", *keep, F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("body"))
-        kinds = ", ".join(f"`{c}` {t}" for c, t in told.dtypes[:-1])
+        # the text goes to Python once: as its own column if it is kept, else as bytes
+        own = [F.col("text")] if "text" in keep else [F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("body")]
+        told = docs.select("doc_id", *(c for c in keep if c != "text"), *own)
+        n = len(told.columns) - ("text" not in keep)
+        kinds = ", ".join(f"`{c}` {t}" for c, t in told.dtypes[:n])
 
         def run(batches):
             for batch in batches:
-                n = batch.num_columns - 1
-                x = np.array([features(t) for t in batch.column(n).to_pylist()]).reshape(-1, len(FEATURES))
-                yield pa.record_batch([*(batch.column(i) for i in range(n)), pa.array(model.value.score(x))], names=[*batch.column_names[:n], "score"])
+                for a in range(0, batch.num_rows, SLICE):
+                    part = batch.slice(a, SLICE)
+                    x = [features(t.encode() if isinstance(t, str) else t or b"") for t in part.column(part.num_columns - 1).to_pylist()]
+                    scores = model.value.score(np.array(x).reshape(-1, len(FEATURES)))
+                    yield pa.record_batch([*(part.column(i) for i in range(n)), pa.array(scores)], names=[*part.column_names[:n], "score"])
 
         scored = told.mapInArrow(run, f"{kinds}, score double")
     return scored.withColumns({"held_out": F.pmod(id_crc("doc_id"), F.lit(3)) == 1, "predicted": (F.col("score") >= 0.5).cast("int")})
