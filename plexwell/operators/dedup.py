@@ -31,7 +31,7 @@ def name_key(name: Column) -> Column:
 
     Leading zeros are dropped for comparison and the whole name decides between names that differ in nothing else.
     """
-    stripped = F.regexp_replace(name, r"0+(?=[0-9])", "")
+    stripped = F.regexp_replace(name, r"(?<![0-9])0+(?=[0-9])", "")
     padded = F.transform(
         F.regexp_extract_all(stripped, F.lit(r"([0-9]+|[^0-9]+)"), F.lit(1)),
         lambda p: F.when(p.rlike("^[0-9]"), F.concat(F.lit("0"), F.lpad(F.length(p).cast("string"), 6, "0"), p)).otherwise(p),
