@@ -55,10 +55,11 @@ def bucket_of(name, seed: int):
 
 
 def downsample(reads: DataFrame, plan: DataFrame, seed: int = 0) -> DataFrame:
-    """``reads`` with kept: whether a read's name falls below its well's fraction. Failing reads are not kept."""
+    """``reads`` with kept: whether a read's name falls below its well's fraction. Failing reads are not kept, nor
+    are those of no well: noBC counts as masked."""
     fractions = F.broadcast(plan.select("bc_idx", "fraction"))  # one row a well; plates are small
     met = reads.join(fractions, "bc_idx", "left")
-    kept = (F.col("qc") == "PASS") & (bucket_of(F.col("name"), seed) < F.coalesce("fraction", F.lit(1.0)) * float(1 << 28))
+    kept = (F.col("qc") == "PASS") & (bucket_of(F.col("name"), seed) < F.coalesce("fraction", F.lit(0.0)) * float(1 << 28))
     return met.withColumn("kept", kept).drop("fraction")
 
 

@@ -358,7 +358,7 @@ _PLAN = (
     ("plan", "SELECT bc_idx, well, mask, qc_pass_reads, CAST(round_even((SELECT count(*) FROM qc) * CAST(0.02 AS DOUBLE), 0) AS BIGINT) AS lim FROM passing"),
 )
 _KEPT = (
-    ("kept", """SELECT qc.read_id, qc.bc_idx, qc.qc = 'PASS' AND CAST('0x' || substr(md5(qc.name || ':7'), 1, 7) AS BIGINT) < coalesce(CASE WHEN plan.mask THEN 0.0 WHEN qc_pass_reads <= lim THEN 1.0 ELSE 0.5 END, 1.0) * 268435456 AS kept
+    ("kept", """SELECT qc.read_id, qc.bc_idx, qc.qc = 'PASS' AND CAST('0x' || substr(md5(qc.name || ':7'), 1, 7) AS BIGINT) < CASE WHEN plan.bc_idx IS NULL OR plan.mask THEN 0.0 WHEN qc_pass_reads <= lim THEN 1.0 ELSE 0.5 END * 268435456 AS kept
     FROM qc LEFT JOIN plan ON qc.bc_idx = plan.bc_idx"""),
 )
 _ASSIGN = ("hit", 'SELECT DISTINCT al.aln_id, x.gene FROM al JOIN exons x ON al.chrom = x.chrom AND al.strand = x.strand AND al.start <= x."end" AND x.start <= al."end" WHERE al.is_mapped')
