@@ -116,21 +116,21 @@ class Block:
         vocab = np.frombuffer(row["vocab"], "<u8")
         tokens = np.frombuffer(zstandard.decompress(row["tokens"]), "<i4")
         self.starts = np.concatenate(([0], self.ends[:-1]))
-        self.doc = np.repeat(np.arange(len(self.ends)), np.diff(np.concatenate(([0], self.ends))))
+        self.doc = np.repeat(np.arange(len(self.ends), dtype=np.int32), np.diff(np.concatenate(([0], self.ends))))
         # words in the order of their hashes, so that equal blocks ask alike
         used, place = np.unique(vocab, return_inverse=True)
-        self.grams, self.at = [used], [place[tokens]]
+        self.grams, self.at = [used], [place.astype(np.int32)[tokens]]
         # before a document stand start symbols
         hashes, n = vocab[tokens], len(tokens)
-        self.first = np.arange(n) - self.starts[self.doc]
+        first = np.arange(n) - self.starts[self.doc]
         for k in range(1, order):
             ctx = np.full(n, START)
             for back in range(k, 0, -1):
-                prev = np.where(self.first >= back, hashes[np.maximum(np.arange(n) - back, 0)], START)
+                prev = np.where(first >= back, hashes[np.maximum(np.arange(n) - back, 0)], START)
                 ctx = prev if back == k else _mix(ctx, prev)
             g, at = np.unique(_mix(ctx, hashes), return_inverse=True)
             self.grams.append(g)
-            self.at.append(at)
+            self.at.append(at.astype(np.int32))
 
     def kinds(self):
         """(kind, hashes, places of tokens): kind k for n-grams of order k + 1."""
@@ -191,15 +191,15 @@ def _unpacked(raw: bytes) -> np.ndarray:
 def _ask(buckets: int, order: int):
     def run(batches):
         for batch in batches:
-            for row in batch.to_pylist():
-                block = Block(row, order)
+            for at in range(batch.num_rows):
+                block_id, block = batch.column(0)[at].as_py(), Block(batch.slice(at, 1).to_pylist()[0], order)
                 part = block.parts[block.doc]
                 out: list[list] = [[] for _ in range(6)]
-                for kind, hashes, at in block.kinds():
-                    kept = np.bincount(at[part == TRAIN], minlength=len(hashes))
-                    deleted = np.bincount(at[part == DEV], minlength=len(hashes))
+                for kind, hashes, place in block.kinds():
+                    kept = np.bincount(place[part == TRAIN], minlength=len(hashes))
+                    deleted = np.bincount(place[part == DEV], minlength=len(hashes))
                     for b, i, j in block.by_bucket(hashes, buckets):
-                        for c, v in zip(out, (kind, b, row["block"], _deltas(hashes[i:j]), _packed(kept[i:j]), _packed(deleted[i:j])), strict=True):
+                        for c, v in zip(out, (kind, b, block_id, _deltas(hashes[i:j]), _packed(kept[i:j]), _packed(deleted[i:j])), strict=True):
                             c.append(v)
                 kinds = (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
                 yield pa.record_batch([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names=[f.split()[0] for f in _ASK.split(", ")])
