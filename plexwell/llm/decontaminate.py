@@ -295,3 +295,23 @@ def brute_force(docs: list[tuple], items: list[tuple], window: int = 10) -> list
                     found |= got
         out.append((doc, len(ws), len(hit), len(found), sha256(",".join(sorted(found)).encode()).hexdigest(), bool(hit)))
     return out
+
+
+def _sql(window: int = 10) -> str:
+    upper = "".join(map(chr, range(65, 91)))
+    words = f"regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{upper.lower()}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+    return f"""
+WITH w AS (SELECT row_number() OVER () AS r, doc_id, {words} AS ws FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item, {words} AS ws FROM benchmark WHERE item_id IS NOT NULL),
+s AS (SELECT item, ws, least({window}, len(ws)) AS k FROM b WHERE len(ws) > 0),
+bw AS (SELECT DISTINCT item, k, array_to_string(ws[i + 1 : i + k], ' ') AS win FROM (SELECT item, ws, k, unnest(range(len(ws) - k + 1)) AS i FROM s) x),
+dw AS (SELECT r, i, k, array_to_string(ws[i + 1 : i + k], ' ') AS win FROM (SELECT r, ws, k, unnest(range(len(ws) - k + 1)) AS i FROM w JOIN (SELECT DISTINCT k FROM bw) ks ON len(ws) >= k) x),
+m AS (SELECT r, i, dw.k, item FROM dw JOIN bw ON dw.k = bw.k AND dw.win = bw.win),
+h AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(i, i + k)) AS p FROM m) x GROUP BY r),
+t AS (SELECT r, count(*) AS n, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT r, item FROM m) x GROUP BY r)
+SELECT doc_id, len(ws) AS n_words, coalesce(h.n, 0) AS n_hit, coalesce(t.n, 0) AS n_items, sha256(coalesce(t.items, '')) AS items_sha256, coalesce(h.n, 0) > 0 AS contaminated
+FROM w LEFT JOIN h ON w.r = h.r LEFT JOIN t ON w.r = t.r
+"""
+
+
+SQL_OP5 = _sql()

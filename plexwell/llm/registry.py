@@ -31,5 +31,6 @@ QUERIES = {
 
 SQL = {
     "op2_license_scan": license_scan.SQL_OP2,
+    "op5_decontamination": decontaminate.SQL_OP5,
     "op7_line_dedup": line_dedup.SQL_OP7,
 }
