@@ -142,17 +142,19 @@ def deduplicate(reads: DataFrame, lookback: int = 10, distance: int = 2, umi_len
     """
     if distance > umi_length // 2:
         raise ValueError("the distance is more than half a UMI")
-    exact = mark_exact_duplicates(reads.select(F.col("bc_idx").cast("int").alias("bc_idx"), "qname", "umi", "places"))
-    first = exact.where("not duplicate").drop("duplicate")
+    w = Window.partitionBy("bc_idx", "places", "umi").orderBy("key")
+    narrow = reads.select(F.col("bc_idx").cast("int").alias("bc_idx"), "qname", "umi", "places", name_key(F.col("qname")).alias("key"))
+    # written once: five steps read it, and reads may stand for a long plan
+    exact = _checkpoint(narrow.withColumns({"nth": F.row_number().over(w), "head": F.first("qname").over(w)}), staging)
+    first = exact.where("nth = 1").select("bc_idx", "qname", "umi", "places", "key")
     pairs = _checkpoint(_islands(first, lookback), staging)
     labels = _components(pairs, staging)
     own = pairs.groupBy("bc_idx", "qname").agg(F.min("island").alias("island")).join(labels, "island", "left").select("bc_idx", "qname", F.coalesce("component", "island").alias("component"))
     scanned = (
-        first.withColumn("key", name_key(F.col("qname"))).join(own, ["bc_idx", "qname"]).groupBy("bc_idx", "component")
+        first.join(own, ["bc_idx", "qname"]).groupBy("bc_idx", "component")
         .applyInArrow(_scan(lookback, distance), "bc_idx int, qname string, dup_of string")
     )
-    w = Window.partitionBy("bc_idx", "places", "umi").orderBy(name_key(F.col("qname")))
-    head = exact.withColumn("head", F.first("qname").over(w)).select("bc_idx", "qname", F.when(F.col("duplicate"), F.col("head")).alias("head"))
+    head = exact.select("bc_idx", "qname", F.when(F.col("nth") > 1, F.col("head")).alias("head"))
     marks = head.join(scanned, ["bc_idx", "qname"], "left").select("bc_idx", "qname", F.coalesce("head", "dup_of").alias("dup_of"))
     return reads.join(marks, ["bc_idx", "qname"], "left").withColumn("duplicate", F.col("dup_of").isNotNull())
 
