@@ -236,7 +236,7 @@ def matrix_sum(spark, d):
 def _normal(f, column, fragment=False, excluded=False):
     def run(spark, d):
         counts = view(spark, d, "read_genes").groupBy("bc_idx", "gene").agg(F.count("*").alias("count"))
-        exons = view(spark, d, "exons").where("gene < 60")
+        exons = view(spark, d, "exons")
         wells = view(spark, d, "whitelist")
         shorter = wells.select("bc_idx", (F.col("bc_idx") * 20).alias("fragment_length")) if fragment else None
         out = f(counts, intervals.effective_lengths(exons), wells, shorter, normalization.ribosomal(exons).distinct() if excluded else None)
