@@ -371,3 +371,33 @@ def test_license_scan(spark):
                     want.add((i, k, name, round(dice, 6)))
     assert {tuple(r) for r in license_scan.scan(frame(spark, rows)).collect()} == want and len(want) >= 3
     assert license_scan.scan(frame(spark, [])).count() == 0
+
+
+def test_license_runs(spark, tmp_path):
+    """Notices over several lines, beside other words, and whole texts, against every run of words."""
+    grant, gpl = license_scan.TEMPLATES["MIT-grant"].split(), license_scan.TEMPLATES["GPL-3.0-notice"].split()
+    wrap = lambda ws, n, lead="": "\n".join(lead + " ".join(ws[k : k + n]) for k in range(0, len(ws), n))
+    rows = [*enumerate(texts()), (50, "Title\n" + wrap(grant, 12, " * ")), (51, "Copyright 2020 Foo. Released under the MIT License."), (52, wrap(gpl, 14, "# ")), (None, f"{prose(60, 40)} This work is licensed\nunder CC BY-NC 4.0. {prose(61, 40)}")]
+    rows += [(53, "a\n" + wrap(license_scan.TEXTS["BSD-3-Clause-text"].split(), 11)), (54, "Released under the\nMIT License. Released under the MIT License.\nReleased under the MIT License."), (51, "Released under\nthe MIT License."), (55, "licensed the software under permission")]
+    frame(spark, rows + [rows[-2]]).write.parquet(str(tmp_path / "documents.parquet"))
+    got = {(r["doc_id"], r["license"]): (r["first_line"], r["n_lines"], r["dice"]) for r in license_scan.op2_license_scan(spark, str(tmp_path)).collect()}
+    normal = lambda t: re.sub(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", " ", t.lower()).split()
+    want = {}
+    for name, notice in (license_scan.TEMPLATES | license_scan.TEXTS).items():
+        ws = normal(notice)
+        grams = set(zip(ws, ws[1:], strict=False))
+        for i, t in rows:
+            text = normal(t or "")
+            pairs = list(zip(text, text[1:], strict=False))
+            for a in range(len(pairs)):
+                if pairs[a] in grams:
+                    for b in range(a + 1, min(len(pairs), a + int(1.5 * len(grams) + 1e-9)) + 1):
+                        run = pairs[a:b]
+                        own = set(run) & grams
+                        dice = 2 * len(own) / (sum(g not in grams for g in run) + len(own) + len(grams))
+                        if round(dice, 6) >= 0.8:
+                            want[i, name] = max(want.get((i, name), 0), round(dice, 6))
+    assert {k: v[2] for k, v in got.items()} == want
+    assert got[50, "MIT-grant"] == (1, 1, 1.0) and got[51, "MIT"] == (0, 2, 1.0) and got[52, "GPL-3.0-notice"] == (0, 1, 1.0) and got[None, "CC-BY-NC-4.0"] == (0, 1, 1.0)
+    assert got[53, "BSD-3-Clause-text"] == (1, 1, 1.0) and got[54, "MIT"] == (0, 3, 1.0)
+    assert license_scan.scan_text(frame(spark, [])).count() == 0
