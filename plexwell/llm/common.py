@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 import zlib
+from collections.abc import Iterable, Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,10 +23,12 @@ LOWER_LETTERS = UPPER_LETTERS.lower()
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or an own one where that is unset (tests)."""
+    """The folder all executors share: spark.checkpoint.dir, or an own one where that is unset and the master is local (tests)."""
     told = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if told:
         return told.rstrip("/")
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     app = spark.sparkContext.applicationId
     if app not in _OWN_DIR:
         _OWN_DIR[app] = "file://" + tempfile.mkdtemp(prefix="plexwell-")
@@ -67,3 +74,48 @@ def crc_of(doc_id: int | None) -> int:
 def text_bytes(docs: DataFrame, *keep: str, column: str = "text") -> DataFrame:
     """Only the wanted columns, with the text as UTF-8 bytes under the name ``body`` (null: empty)."""
     return docs.select(*keep, F.coalesce(F.col(column).cast("binary"), F.lit(b"")).alias("body"))
+
+
+#: Bytes of text (or of other long values) that a worker turns to Python objects at a time.
+BATCH_BYTES = 8 << 20
+
+
+def cut_batches(batches: Iterable[pa.RecordBatch], column: int, limit: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches whose values of a text or binary column take ``limit`` bytes at most, or one row."""
+    for batch in batches:
+        sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        a, before = 0, 0
+        while a < batch.num_rows:
+            b = max(a + 1, int(np.searchsorted(sizes, before + limit, side="right")))
+            yield batch.slice(a, b - a)
+            a, before = b, int(sizes[b - 1])
+
+
+def giving_back(run):
+    """``run`` over a task's batches; then the worker, which later tasks use again, returns freed memory to the system."""
+
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim is not None:
+                trim(0)
+
+    return wrapped
+
+
+_SHARED: list = []
+
+
+def share(spark: SparkSession, value):
+    """A broadcast that ``unshare`` takes back; ``value`` has a bound that its operator states."""
+    _SHARED.append(spark.sparkContext.broadcast(value))
+    return _SHARED[-1]
+
+
+def unshare() -> None:
+    """Take the copies of all broadcasts from executors (one that is asked for again is sent again)."""
+    while _SHARED:
+        _SHARED.pop().unpersist()

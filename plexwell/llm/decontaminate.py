@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER
+from .common import LOWER, cut_batches, giving_back, share
 
 #: Bytes of item text in one automaton (some hundred MB of Python objects at most).
 BLOCK_BYTES = 4 << 20
@@ -171,7 +171,7 @@ def _scan(shared, passed: int, only_hits: bool):
     def run(batches):
         auto: Automaton = shared.value
         get = auto.vocab.get
-        for batch in batches:
+        for batch in cut_batches(batches, -1):
             cols: list[list] = [[], [], [], []]
             where = []
             for row, text in enumerate(batch.column(batch.num_columns - 1).to_pylist()):
@@ -194,7 +194,7 @@ def _scan(shared, passed: int, only_hits: bool):
             arrays += [pa.array(c, k) for c, k in zip(cols, (pa.int64(), kind, pa.list_(pa.string()), pa.int32()), strict=True)]
             yield pa.record_batch(arrays, names=[*through.schema.names, "n_words", "hits", "items", "longest"])
 
-    return run
+    return giving_back(run)
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, keep: Sequence[str] = (), window: int = 10, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -210,7 +210,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, keep: Sequence[str
 
     def shared(block: int):
         rows = told.where(F.col("block") == block).collect()  # about block_bytes
-        return spark.sparkContext.broadcast(Automaton([(r["item"], words_of(bytes(r["body"]))) for r in rows], window))
+        return share(spark, Automaton([(r["item"], words_of(bytes(r["body"]))) for r in rows], window))
 
     n = len(docs.columns)
     schema = f"{kinds}, {_FOUND}"
@@ -222,7 +222,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, keep: Sequence[str
         part = keyed.mapInArrow(_scan(shared(block), 1, True), f"row struct<doc_id:long,sum:string>, {_FOUND}")
         parts = part if parts is None else parts.unionByName(part)
     merged = parts.groupBy("row").agg(F.flatten(F.collect_set("hits")).alias("hits"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"), F.max("longest").alias("longest"))
-    empty = spark.sparkContext.broadcast(Automaton([], window))
+    empty = share(spark, Automaton([], window))
     counted = docs.mapInArrow(_scan(empty, n, False), schema).drop("hits", "items", "longest").withColumn("row", F.struct("doc_id", F.md5("body").alias("sum")))
     # ranges of several blocks may overlap: sorted, then folded into disjoint ones
     fold = F.aggregate(
@@ -242,7 +242,7 @@ def n_hit(hits="hits"):
 
 def _without(batches):
     """text and hits (the last two columns) to the text without those words; what stood between them goes too."""
-    for batch in batches:
+    for batch in cut_batches(batches, -2):
         out = []
         for body, hits in zip(batch.column(batch.num_columns - 2).to_pylist(), batch.column(batch.num_columns - 1).to_pylist(), strict=True):
             if hits:
@@ -262,7 +262,7 @@ def remove_contamination(docs: DataFrame, benchmark: DataFrame, keep: Sequence[s
     found = find_contamination(docs, benchmark, keep, window).where(n_hit() <= F.col("n_words") * max_coverage)
     kept = found.select("doc_id", *keep, "body", "hits")
     kinds = ", ".join(f"`{c}` {t}" for c, t in kept.dtypes[:-2])
-    return kept.mapInArrow(_without, f"{kinds}, text string")
+    return kept.mapInArrow(giving_back(_without), f"{kinds}, text string")
 
 
 def op5_decontamination(spark, sf_dir: str) -> DataFrame:

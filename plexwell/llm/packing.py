@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch
+from .common import Scratch, cut_batches, giving_back
 from .tokens import encoder
 
 _PIECES = "part int, doc_id long, piece int, start long, length int, ids_crc32 long, nth long"
@@ -97,7 +97,7 @@ def _cut(path: str, end_id: int, capacity: int):
     def run(batches):
         enc, part, nth = encoder(path), TaskContext.get().partitionId(), Counter()
         end = np.array([end_id], "<u4").tobytes()
-        for batch in batches:
+        for batch in cut_batches(batches, 1):
             cols: list[list] = [[] for _ in range(7)]
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 raw = enc.encode(text or "") + end
@@ -132,7 +132,7 @@ def _place(table: np.ndarray):
 def pack(spark: SparkSession, docs: DataFrame, path: str, capacity: int = 2048, end_id: int = 0) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset of every piece of ``docs`` (doc_id, text)."""
     scratch = Scratch(spark, "packing")
-    pieces = scratch.table(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_cut(path, end_id, capacity), _PIECES), "pieces")
+    pieces = scratch.table(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(giving_back(_cut(path, end_id, capacity)), _PIECES), "pieces")
     # a length may hold a third of all pieces: tasks number their own, and only their counts are summed by length
     counts = pieces.groupBy("part", "length").agg(F.count("*").alias("n"))
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)

@@ -20,12 +20,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, id_crc, text_bytes
+from .common import Scratch, cut_batches, giving_back, id_crc, share, text_bytes
 
-#: Labelled rows the model is fitted on at most, those of the least hash of doc_id. Only fitting is bounded.
+#: Labelled rows the model is fitted on at most; labels are drawn by the hash of doc_id. Only fitting is bounded.
 MAX_LABELLED = 100_000
-#: Texts a task turns to features at a time.
-SLICE = 1000
 BINS, ROUNDS, PAIRS, PAIR_ROUNDS, PAIR_BINS, RATE = 32, 120, 6, 60, 8, 0.15
 
 FEATURES = (
@@ -176,7 +174,7 @@ def fit(x: np.ndarray, y: np.ndarray) -> Additive:
 
 
 def _describe(batches):
-    for batch in batches:
+    for batch in cut_batches(batches, 1):
         rows = [features(t) for t in batch.column(1).to_pylist()]
         yield pa.record_batch([batch.column(0), pa.array(rows, pa.list_(pa.float64()))], names=["doc_id", "x"])
 
@@ -188,7 +186,11 @@ def _matrix(column) -> np.ndarray:
 def fit_on(described: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> Additive:
     """The model of labelled rows that aren't held out. ``described``: doc_id, x."""
     told = labels.select("doc_id", F.col("quality").cast("int").alias("y")).where("y in (0, 1)").where(F.pmod(id_crc("doc_id"), F.lit(3)) != 1)
-    rows = told.join(described.select("doc_id", "x"), "doc_id").select("doc_id", "y", "x")
+    # about as many labels as the bound, by hash; the rows of one doc_id stay together
+    share_of = min(1.0, max_labelled / max(1, told.count()))
+    drawn = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
+    rows = told.where(drawn < int(share_of * (1 << 30))).join(described.select("doc_id", "x"), "doc_id").select("doc_id", "y", "x")
+    # a doc_id may stand on many rows: only then does the limit cut, after all but the drawn rows are gone
     sample = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "y").limit(max_labelled).toArrow().combine_chunks()
     x = np.array(sample.column("x").to_pylist(), np.float64).reshape(-1, len(FEATURES))
     return fit(x, np.array(sample.column("y").to_pylist(), np.float64))
@@ -199,7 +201,7 @@ def score(docs: DataFrame, labels: DataFrame, keep: Sequence[str] = ()) -> DataF
     spark = docs.sparkSession
     scratch = Scratch(spark, "quality")
     described = scratch.table(text_bytes(docs, "doc_id").mapInArrow(_describe, "doc_id long, x array<double>"), "features")
-    model = spark.sparkContext.broadcast(fit_on(described, labels))  # a few tables of at most BINS entries
+    model = share(spark, fit_on(described, labels))  # a few tables of at most BINS entries
     if not keep:
 
         def run(batches):
@@ -216,14 +218,12 @@ def score(docs: DataFrame, labels: DataFrame, keep: Sequence[str] = ()) -> DataF
         kinds = ", ".join(f"`{c}` {t}" for c, t in told.dtypes[:n])
 
         def run(batches):
-            for batch in batches:
-                for a in range(0, batch.num_rows, SLICE):
-                    part = batch.slice(a, SLICE)
-                    x = [features(t.encode() if isinstance(t, str) else t or b"") for t in part.column(part.num_columns - 1).to_pylist()]
-                    scores = model.value.score(np.array(x).reshape(-1, len(FEATURES)))
-                    yield pa.record_batch([*(part.column(i) for i in range(n)), pa.array(scores)], names=[*part.column_names[:n], "score"])
+            for part in cut_batches(batches, -1):
+                x = [features(t.encode() if isinstance(t, str) else t or b"") for t in part.column(part.num_columns - 1).to_pylist()]
+                scores = model.value.score(np.array(x).reshape(-1, len(FEATURES)))
+                yield pa.record_batch([*(part.column(i) for i in range(n)), pa.array(scores)], names=[*part.column_names[:n], "score"])
 
-        scored = told.mapInArrow(run, f"{kinds}, score double")
+        scored = told.mapInArrow(giving_back(run), f"{kinds}, score double")
     return scored.withColumns({"held_out": F.pmod(id_crc("doc_id"), F.lit(3)) == 1, "predicted": (F.col("score") >= 0.5).cast("int")})
 
 

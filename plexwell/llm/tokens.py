@@ -1,17 +1,21 @@
 """Exact tokenisation with a cache of units between spaces.
 
 A byte-pair model works on pre-tokens, and no pre-token of the supported tokenizers runs across a single space, so a
-text's ids are the ids of its space-separated units in order. Each distinct unit is run through the library's model
-once per worker; a text where that rule might not hold goes through the whole tokenizer.
+text's ids are the ids of its space-separated units in order. A unit met before is looked up in a cache of
+bounded bytes; a text where that rule might not hold goes through the whole tokenizer.
 """
 
 from __future__ import annotations
 
 import json
 from array import array
+from operator import attrgetter
 
-#: Entries a worker keeps before it starts its cache anew (about 150 bytes each).
-CACHE_ENTRIES = 900_000
+#: Bytes that a worker's cache of units, and its cache of other pre-tokens, hold at most.
+CACHE_BYTES, PIECE_BYTES = 96 << 20, 16 << 20
+#: Longer texts, and more bytes of ids, are not kept; so an entry takes ENTRY_BYTES at most (two objects and its place).
+LONGEST, MOST_IDS, ENTRY_BYTES = 24, 40, 280
+_ID = attrgetter("id")
 
 
 #: Marks that are pre-tokens of their own after a word (apostrophes may start a contraction).
@@ -22,13 +26,22 @@ class _Unsafe(Exception):
     """The unit's ids may depend on what stands beside it."""
 
 
-class _Units(dict):
-    def __init__(self, encoder: "Encoder", prefix: str):
-        super().__init__()
-        self.encoder, self.prefix = encoder, prefix
+class _Cache(dict):
+    """Values by text in two generations: when the young one is full, it replaces the old one, and what is used comes back."""
 
-    def __missing__(self, unit: str) -> bytes:
-        out = self[unit] = self.encoder.unit(unit, self.prefix)
+    def __init__(self, make, limit: int):
+        super().__init__()
+        self.make, self.most, self.old = make, max(1, limit // (2 * ENTRY_BYTES)), {}
+
+    def __missing__(self, text: str) -> bytes:
+        out = self.old.get(text)
+        if out is None:
+            out = self.make(text)
+        if len(text) <= LONGEST and len(out) <= MOST_IDS:
+            if len(self) >= self.most:
+                self.old = dict(self)
+                self.clear()
+            self[text] = out
         return out
 
 
@@ -59,9 +72,10 @@ class Encoder:
         self.known = spec.get("added_tokens") is not None and (
             split is not None or pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space")
         )
-        self.pieces: dict[str, bytes] = {}  # of pre-tokens
-        self.inner = _Units(self, " " if self.spaced else "")
-        self.head = _Units(self, "")
+        self.pieces = _Cache(self.ids_of, PIECE_BYTES)
+        self.piece = self.pieces.__getitem__
+        prefix = " " if self.spaced else ""
+        self.inner = _Cache(lambda unit: self.unit(unit, prefix), CACHE_BYTES)
 
     def whole(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -69,15 +83,14 @@ class Encoder:
 
     def unit(self, unit: str, prefix: str) -> bytes:
         """Ids of a unit that follows a space (prefix " ") or starts the text (prefix "")."""
-        if unit.isalpha() and (unit.isascii() or max(unit) < "\u0250"):  # letters only: one pre-token
+        if unit.isalpha() and (unit.isascii() or max(unit) < "\u0250"):  # letters only: one pre-token, kept as a unit
             told = prefix + unit if self.normalizer is None else unit.lower()
             if self.normalizer is None or told.isalpha():  # lower-casing may bring marks
-                return self.piece(told)
+                return self.ids_of(told)
         word, last = unit[:-1], unit[-1:]
         if last in _MARKS and word.isalpha() and (word.isascii() or max(word) < "\u0250"):  # a word and a mark: two
-            told = prefix + word if self.normalizer is None else word.lower()
-            if self.normalizer is None or told.isalpha():
-                return self.piece(told) + self.piece(last)
+            if self.normalizer is None or word.lower().isalpha():
+                return (self.inner[word] if prefix or not self.spaced else self.ids_of(word)) + self.piece(last)
         if not unit or unit[0].isspace():
             if self.spaced and prefix:
                 raise _Unsafe
@@ -93,28 +106,21 @@ class Encoder:
             told = told.lower()
         return b"".join(map(self.piece, self.find(told)))
 
-    def piece(self, piece: str) -> bytes:
-        got = self.pieces.get(piece)
-        if got is None:
-            if piece.isascii() and piece.isprintable():
-                mapped = piece.replace(" ", self.space)
-            else:
-                mapped = piece.encode().decode("latin-1").translate(self.alphabet)
-            got = self.pieces[piece] = array("I", [t.id for t in self.model.tokenize(mapped)]).tobytes()
-        return got
+    def ids_of(self, piece: str) -> bytes:
+        """Ids of one pre-token."""
+        if piece.isascii() and piece.isprintable():
+            mapped = piece.replace(" ", self.space)
+        else:
+            mapped = piece.encode().decode("latin-1").translate(self.alphabet)
+        return array("I", map(_ID, self.model.tokenize(mapped))).tobytes()
 
     def encode(self, text: str) -> bytes:
         if not self.known or any(t in text for t in self.added):
             return self.whole(text)
-        if len(self.inner) > CACHE_ENTRIES:
-            self.inner.clear()
-            self.pieces.clear()
-        if len(self.head) > CACHE_ENTRIES // 10:
-            self.head.clear()
         units = text.split(" ")
         try:
             if self.spaced:
-                units[0] = self.head[units[0]]
+                units[0] = self.unit(units[0], "")
                 units[1:] = map(self.inner.__getitem__, units[1:])
                 return b"".join(units)
             return b"".join(map(self.inner.__getitem__, units))
