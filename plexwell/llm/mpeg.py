@@ -5,7 +5,8 @@ frame hold them, an ID3v2 tag tells how many there are, a Xing frame has frame a
 Players hear silence. ``parse`` reads any MPEG 1, 2 or 2.5 stream of Layers I to III: damaged or foreign bytes between frames
 are skipped, a frame counts if a header that agrees with it, a tag or the end follows, or if its checksum is right.
 
-A null text is empty; an empty text gives 64 zero bytes. Equal texts give equal values. Rows with equal or null doc_id
+A null text is empty; an empty text gives 64 zero bytes. A text may hold what looks like tags or tables (``TAG``, ``ID3``,
+``Xing``): inside a frame it is payload, and UTF-8 has no byte 0xFF to be taken for a frame's start. Equal texts give equal values. Rows with equal or null doc_id
 are handled each for themselves. An empty table gives no rows. Columns other than the id and the text are ignored.
 """
 
@@ -16,11 +17,12 @@ import zlib
 from dataclasses import dataclass, field
 from functools import lru_cache
 from hashlib import sha256
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import Scratch, text_bytes
+from .common import Scratch, cut_batches, text_bytes
 
 # Fixed values of the MPEG audio standards (kbit/s by index, free format and the forbidden index left out).
 BITRATES = {
@@ -151,16 +153,18 @@ def parse(data: bytes) -> Parsed:
     out = Parsed()
     at, out.tags = id3v2(data)
     end, first = len(data), True
-    if end - at >= 128 and data[end - 128 : end - 125] == b"TAG":
-        end -= 128
-    while at < end:
+    # an ID3v1 tag stands where the frames end; inside a frame the same three letters are the frame's own bytes
+    tag = end - 128 if end - at >= 128 and data[end - 128 : end - 125] == b"TAG" else end
+    while at < end and at != tag:
         h = header(data[at : at + 4])
         after = at + h.length if h else 0
-        follows = h and (after == end or after < end and (n := header(data[after : after + 4])) is not None and (n.version, n.layer, n.rate) == (h.version, h.layer, h.rate))
+        follows = h and (after in (end, tag) or after < end and (n := header(data[after : after + 4])) is not None and (n.version, n.layer, n.rate) == (h.version, h.layer, h.rate))
         state = crc_state(data, at, h) if h and after <= end else -1
         if not (follows or state == 1):
             nxt = data.find(b"\xff", at + 1, end)
             nxt = end if nxt < 0 else nxt
+            if at < tag < nxt:
+                nxt = tag
             out.skipped += nxt - at
             at = nxt
             continue
@@ -213,25 +217,28 @@ def build(payload: bytes) -> bytes:
     tag = b"ID3\x04\0\0" + _to_syncsafe(len(tag)) + tag
     index = min(i for i, r in _ROOM.items() if r >= 16 + TOC)
     total = sum(sizes) + _ROOM[index] + len(_FRONTS[index])
-    # byte position, in 256ths of the stream, at which each hundredth of the play time starts
-    starts, at = [], total - sum(sizes)
-    for s in sizes:
-        starts.append(at)
-        at += s
-    toc = bytes(min(255, starts[min(len(starts) - 1, k * len(starts) // TOC)] * 256 // total) if starts else 0 for k in range(TOC))
-    table = b"Xing" + struct.pack(">III", 7, len(sizes), total) + toc
+    starts = [0, *accumulate(sizes)][:-1]
+    table = b"Xing" + struct.pack(">III", 7, len(sizes), total) + contents([total - sum(sizes) + s for s in starts], total)
     return tag + (_FRONTS[index] + table).ljust(_ROOM[index] + len(_FRONTS[index]), b"\0") + b"".join(frames)
 
 
+def contents(starts: list[int], total: int) -> bytes:
+    """The table of contents: the 256th of the stream at which each hundredth of the play time starts."""
+    return bytes(min(255, starts[k * len(starts) // TOC] * 256 // total) if starts else 0 for k in range(TOC))
+
+
 def _to_syncsafe(n: int) -> bytes:
     return bytes((n >> 21 & 127, n >> 14 & 127, n >> 7 & 127, n & 127))
 
 
 def extract(media: bytes, parsed: Parsed) -> bytes:
     """The payload of a stream of ``build``; ValueError if it isn't whole."""
-    size = int(parsed.tags["TXXX:payload_bytes"])
-    payload = b"".join(media[a:b] for a, b in parsed.bodies)[:size]
-    if len(payload) != size or parsed.bad or parsed.skipped or parsed.vbr_frames != len(parsed.offsets):
+    size = int(parsed.tags.get("TXXX:payload_bytes", -1))
+    payload = b"".join(media[a:b] for a, b in parsed.bodies)[: max(size, 0)]
+    first = id3v2(media)[0]  # the table frame comes right after the tag and counts itself
+    table = contents([o - first for o in parsed.offsets], len(media) - first)
+    told = (parsed.vbr_frames, parsed.vbr_bytes, parsed.toc) == (len(parsed.offsets), len(media) - first, table)
+    if len(payload) != size or parsed.bad or parsed.skipped or not told:
         raise ValueError("the stored stream is damaged")
     return payload
 
@@ -241,22 +248,11 @@ def padded(text: bytes) -> bytes:
     return text.ljust(max(64, -(-len(text) // 64) * 64), b"\0")
 
 
-#: Bytes of text in one batch that a task writes.
-BATCH_BYTES = 16 << 20
-
-
 def _store(batches):
-    for batch in batches:
-        ids, texts = batch.column(0), batch.column(1).to_pylist()
-        a = 0
-        while a < len(texts):
-            b, size = a, 0
-            while b < len(texts) and (b == a or size + len(texts[b]) <= BATCH_BYTES):
-                size += len(texts[b])
-                b += 1
-            media = [build(padded(t)) for t in texts[a:b]]
-            yield pa.record_batch([ids.slice(a, b - a), pa.array([len(t) for t in texts[a:b]], pa.int64()), pa.array(media, pa.binary())], names=["doc_id", "n_bytes", "media"])
-            a = b
+    for batch in cut_batches(batches, 1):
+        texts = batch.column(1).to_pylist()
+        media = [build(padded(t)) for t in texts]
+        yield pa.record_batch([batch.column(0), pa.array([len(t) for t in texts], pa.int64()), pa.array(media, pa.binary())], names=["doc_id", "n_bytes", "media"])
 
 
 def store(docs: DataFrame, scratch: Scratch) -> DataFrame:
@@ -271,7 +267,7 @@ _COLUMNS = (
 
 
 def _read(batches):
-    for batch in batches:
+    for batch in cut_batches(batches, 2):
         rows = []
         for n, media in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
             p = parse(media)
