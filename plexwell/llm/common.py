@@ -7,6 +7,7 @@ import tempfile
 import uuid
 import zlib
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +36,23 @@ def shared_dir(spark: SparkSession) -> str:
     return _OWN_DIR[app]
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def freeing(spark: SparkSession):
+    """Shuffle files of a write within are deleted when it ends: what is written is read, never computed again."""
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
+
+
 class Scratch:
     """Tables of one operator run under the shared folder; they cut lineage and survive lost executors."""
 
@@ -47,7 +65,8 @@ class Scratch:
 
     def table(self, df: DataFrame, name: str) -> DataFrame:
         """Write ``df`` as Parquet and read it back (with the schema given, so empty tables work)."""
-        df.write.option("compression", "zstd").parquet(self.path(name))
+        with freeing(self.spark):
+            df.write.option("compression", "zstd").parquet(self.path(name))
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
     def drop(self, name: str) -> None:

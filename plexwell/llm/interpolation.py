@@ -9,7 +9,7 @@ are those of all training documents.
 Every n-gram of every document is counted, without sending it more than once for each block of documents:
 
 1. documents are coded in blocks (a vocabulary of 64-bit word hashes, and each token's place in it), written as a table;
-2. each block sends its distinct n-grams, as packed sorted hashes with their counts, to the bucket of their hash; a bucket
+2. for one order after another, each block sends its distinct n-grams, as packed sorted hashes with their counts, to the bucket of their hash; a bucket
    adds up and answers each block with packed totals. A frequent word or passage is one entry for each block, so no bucket
    is hot, and buckets grow in number with the corpus;
 3. a block meets the answers to it and scores its documents. Deleted documents have blocks of their own, which alone
@@ -33,17 +33,17 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, Scratch, crc_of, text_bytes
+from .common import LOWER, Scratch, crc_of, cut_batches, giving_back, share, text_bytes
 
-ORDER = 2
+ORDER = 3
 #: Of the training documents, one in so many is deleted from the counts while weights are learned.
 DELETED = 10
 #: Text bytes of a block, and entries of a bucket.
-BLOCK_BYTES, BUCKET_ENTRIES = 16 << 20, 1_500_000
+BLOCK_BYTES, BUCKET_ENTRIES = 8 << 20, 750_000
 #: Context frequencies 1, 2-3, 4-7 ... share weights; bucket 0 has unseen contexts.
 CONTEXT_BUCKETS = 24
-#: Steps of the grid for each doubling, and of expectation-maximisation.
-GRID, EM_STEPS = 16, 60
+#: Steps of the grid for each doubling, and of expectation-maximisation; a grid place takes PLACE_BITS.
+GRID, EM_STEPS, PLACE_BITS = 6, 60, 10
 END, START = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 TRAIN, DEV, HELD_OUT = 0, 1, 2
 
@@ -78,15 +78,18 @@ def _blocks(batches):
         nonlocal made
         x = open_.pop(dev)
         hashes = np.fromiter((xxhash.xxh64_intdigest(w) for w in x["vocab"]), np.uint64, len(x["vocab"]))
+        # words in the order of their hashes: blocks ask alike, and differences of hashes are short
+        used, place = np.unique(np.concatenate(([END], hashes)), return_inverse=True)
+        tokens = place.astype("<i4")[np.concatenate(x["tokens"])]
         row = {
             "block": task << 25 | made << 1 | dev, "dev": dev, "docs": x["docs"], "parts": bytes(x["parts"]), "ends": np.array(x["ends"], "<i8").tobytes(),
-            "vocab": np.concatenate(([END], hashes)).astype("<u8").tobytes(), "n": x["n"], "tokens": zstandard.compress(np.concatenate(x["tokens"]).astype("<i4").tobytes()),
+            "vocab": _deltas(used), "n": x["n"], "tokens": zstandard.compress(tokens.tobytes(), 6),
         }
         made += 1
         kinds = (pa.int64(), pa.bool_(), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.binary())
         return pa.record_batch([pa.array([v], k) for v, k in zip(row.values(), kinds, strict=True)], names=list(row))
 
-    for batch in batches:
+    for batch in cut_batches(batches, 1):
         for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             part = part_of(doc)
             x = open_.setdefault(part == DEV, fresh())
@@ -109,32 +112,31 @@ def _blocks(batches):
 class Block:
     """A coded block: for each order the distinct n-grams (sorted hashes) and each token's place among them."""
 
-    def __init__(self, row: dict, order: int):
+    def __init__(self, row: dict, kinds: range):
         self.docs = row["docs"]
         self.parts = np.frombuffer(row["parts"], np.uint8)
         self.ends = np.frombuffer(row["ends"], "<i8")
-        vocab = np.frombuffer(row["vocab"], "<u8")
+        vocab = _hashes(row["vocab"])
         tokens = np.frombuffer(zstandard.decompress(row["tokens"]), "<i4")
         self.starts = np.concatenate(([0], self.ends[:-1]))
         self.doc = np.repeat(np.arange(len(self.ends), dtype=np.int32), np.diff(np.concatenate(([0], self.ends))))
-        # words in the order of their hashes, so that equal blocks ask alike
-        used, place = np.unique(vocab, return_inverse=True)
-        self.grams, self.at = [used], [place.astype(np.int32)[tokens]]
+        self.grams = {0: (vocab, tokens)} if 0 in kinds else {}
         # before a document stand start symbols
         hashes, n = vocab[tokens], len(tokens)
         first = np.arange(n) - self.starts[self.doc]
-        for k in range(1, order):
-            ctx = np.full(n, START)
-            for back in range(k, 0, -1):
-                prev = np.where(first >= back, hashes[np.maximum(np.arange(n) - back, 0)], START)
-                ctx = prev if back == k else _mix(ctx, prev)
-            g, at = np.unique(_mix(ctx, hashes), return_inverse=True)
-            self.grams.append(g)
-            self.at.append(at.astype(np.int32))
+        for k in kinds:
+            if k:
+                ctx = np.full(n, START)
+                for back in range(k, 0, -1):
+                    prev = np.where(first >= back, hashes[np.maximum(np.arange(n) - back, 0)], START)
+                    ctx = prev if back == k else _mix(ctx, prev)
+                g, at = np.unique(_mix(ctx, hashes), return_inverse=True)
+                self.grams[k] = (g, at.astype(np.int32))
 
     def kinds(self):
         """(kind, hashes, places of tokens): kind k for n-grams of order k + 1."""
-        yield from zip(range(len(self.grams)), self.grams, self.at, strict=True)
+        for kind, (hashes, at) in self.grams.items():
+            yield kind, hashes, at
 
     def contexts(self, shorter: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """How often each token's context occurs, from the totals of the n-grams one shorter: the one that ends a token before.
@@ -159,7 +161,7 @@ def _limits(buckets: int) -> np.ndarray:
     return np.array([(b << 64) // buckets for b in range(buckets)], np.uint64)
 
 
-_ASK = "kind int, bucket int, block long, hashes binary, kept binary, deleted binary"
+_ASK = "kind int, bucket int, block long, hashes binary, counts binary"
 
 
 def _deltas(hashes: np.ndarray) -> bytes:
@@ -188,21 +190,20 @@ def _unpacked(raw: bytes) -> np.ndarray:
     return np.frombuffer(raw, np.uint8 if raw[0] == 1 else "<i8", offset=1).astype(np.int64)
 
 
-def _ask(buckets: int, order: int):
+def _ask(buckets: int, kind: int):
     def run(batches):
         for batch in batches:
             for at in range(batch.num_rows):
-                block_id, block = batch.column(0)[at].as_py(), Block(batch.slice(at, 1).to_pylist()[0], order)
-                part = block.parts[block.doc]
-                out: list[list] = [[] for _ in range(6)]
-                for kind, hashes, place in block.kinds():
-                    kept = np.bincount(place[part == TRAIN], minlength=len(hashes))
-                    deleted = np.bincount(place[part == DEV], minlength=len(hashes))
+                block_id, block = batch.column(0)[at].as_py(), Block(batch.slice(at, 1).to_pylist()[0], range(kind, kind + 1))
+                learnt = block.parts[block.doc] != HELD_OUT  # of a block with deleted documents, all are
+                kinds = (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary())
+                for _, hashes, place in block.kinds():
+                    counts = np.bincount(place[learnt], minlength=len(hashes))
+                    out: list[list] = [[] for _ in kinds]
                     for b, i, j in block.by_bucket(hashes, buckets):
-                        for c, v in zip(out, (kind, b, block_id, _deltas(hashes[i:j]), _packed(kept[i:j]), _packed(deleted[i:j])), strict=True):
+                        for c, v in zip(out, (kind, b, block_id, _deltas(hashes[i:j]), _packed(counts[i:j])), strict=True):
                             c.append(v)
-                kinds = (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
-                yield pa.record_batch([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names=[f.split()[0] for f in _ASK.split(", ")])
+                    yield pa.record_batch([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names=[f.split()[0] for f in _ASK.split(", ")])
 
     return run
 
@@ -214,9 +215,12 @@ def _answer(group: pa.Table) -> pa.Table:
     """All that was asked of one bucket: totals in the kept and in all training documents, for each block in its order."""
     hashes = [_hashes(h) for h in group.column("hashes").to_pylist()]
     found, at = np.unique(np.concatenate(hashes), return_inverse=True)
+    counts = [_unpacked(x) for x in group.column("counts").to_pylist()]
+    zero = [np.zeros(len(x), np.int64) if b & 1 else x for b, x in zip(group.column("block").to_pylist(), counts, strict=True)]
     # sums of doubles are exact below 2^53
-    kept = np.bincount(at, np.concatenate([_unpacked(x) for x in group.column("kept").to_pylist()]), len(found)).astype(np.int64)
-    full = kept + np.bincount(at, np.concatenate([_unpacked(x) for x in group.column("deleted").to_pylist()]), len(found)).astype(np.int64)
+    kept = np.bincount(at, np.concatenate(zero), len(found)).astype(np.int64)
+    full = np.bincount(at, np.concatenate(counts), len(found)).astype(np.int64)
+    del counts, zero
     ends = list(accumulate(map(len, hashes)))
     n = len(hashes)
     spans = [at[e - len(h) : e] for e, h in zip(ends, hashes, strict=True)]
@@ -238,7 +242,7 @@ def _context_bucket(c: np.ndarray) -> np.ndarray:
 
 def _counts(row: dict, answers: list[dict], order: int, field: str, buckets: int):
     """The block, and for each kind the totals of each token's n-gram or context."""
-    block = Block(row, order)
+    block = Block(row, range(order))
     by = {(a["kind"], a["bucket"]): a[field] for a in answers}
     out = {}
     for kind, hashes, at in block.kinds():
@@ -272,13 +276,16 @@ def learn(cells: list[tuple[int, list[int], float]], order: int, uniform: float)
 
     A bucket without deleted tokens takes the weights of all together.
     """
+    bucket, n = (np.array([c[k] for c in cells]) for k in (0, 2))
+    return _learn(bucket, np.array([c[1] for c in cells], np.float64).reshape(len(cells), order), n.astype(np.float64), uniform)
+
+
+def _learn(bucket: np.ndarray, place: np.ndarray, n: np.ndarray, uniform: float) -> np.ndarray:
+    order = place.shape[1]
     weights = np.full((CONTEXT_BUCKETS, order + 1), 1.0 / (order + 1))
-    if not cells:
+    if not len(n):
         return weights
-    bucket = np.array([c[0] for c in cells])
-    n = np.array([c[2] for c in cells], np.float64)
-    place = np.array([c[1] for c in cells], np.float64).reshape(len(cells), order)
-    p = np.concatenate((np.full((len(cells), 1), uniform), np.where(place > 0, 2.0 ** (-(place - 1) / GRID), 0.0)), axis=1)
+    p = np.concatenate((np.full((len(n), 1), uniform), np.where(place > 0, 2.0 ** (-(place - 1) / GRID), 0.0)), axis=1)
 
     def run(p, n, w):
         for _ in range(EM_STEPS):
@@ -301,13 +308,16 @@ def score(docs: DataFrame, order: int = ORDER) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10) of every row."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "interpolation")
-    blocks = scratch.table(text_bytes(docs, "doc_id").mapInArrow(_blocks, _BLOCK), "blocks")
+    blocks = scratch.table(text_bytes(docs, "doc_id").mapInArrow(giving_back(_blocks), _BLOCK), "blocks")
     size = blocks.agg(F.sum("n").alias("n")).first()["n"] or 0
-    buckets = max(1, -(-size * order // BUCKET_ENTRIES))
-    asked = blocks.mapInArrow(_ask(buckets, order), _ASK)
-    answers = scratch.table(asked.groupBy("kind", "bucket").applyInArrow(_answer, _ANSWER), "answers")
+    buckets = max(1, -(-size // BUCKET_ENTRIES))
+    answers = None
+    for kind in range(order):  # one order after another, as the shuffle files of one are deleted before the next
+        asked = blocks.mapInArrow(giving_back(_ask(buckets, kind)), _ASK)
+        told = scratch.table(asked.groupBy("kind", "bucket").applyInArrow(_answer, _ANSWER), f"answers-{kind}")
+        answers = told if answers is None else answers.unionByName(told)
     sums = answers.where("kind = 0").agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("kept_tokens", "full_tokens", "full_types", "kept_types"))).first()
-    total = spark.sparkContext.broadcast(tuple(sums))
+    total = share(spark, tuple(sums))
 
     def together(rows: DataFrame, listed: DataFrame, f, schema: str) -> DataFrame:
         """``f`` on each block and what was answered to it."""
@@ -315,15 +325,20 @@ def score(docs: DataFrame, order: int = ORDER) -> DataFrame:
 
     def gather(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
-            return pa.table({"bucket": pa.array([], pa.int32()), "places": pa.array([], pa.list_(pa.int64())), "n": pa.array([], pa.int64())})
+            return pa.table({"cell": pa.array([], pa.int64()), "n": pa.array([], pa.int64())})
         _, counts = _counts(left.to_pylist()[0], right.to_pylist(), order, "kept", buckets)
         p, bucket = _estimates(counts, order, total.value[0], total.value[3])
-        cells, n = np.unique(np.concatenate((bucket[:, None], _cells(p[:, 1:])), axis=1), axis=0, return_counts=True)
-        return pa.table({"bucket": pa.array(cells[:, 0], pa.int32()), "places": pa.array(cells[:, 1:].tolist(), pa.list_(pa.int64())), "n": pa.array(n, pa.int64())})
-
-    histogram = together(blocks.where("dev"), answers.where("block % 2 = 1").select("block", "kind", "bucket", "kept"), gather, "bucket int, places array<long>, n long").groupBy("bucket", "places").agg(F.sum("n").alias("n"))
-    cells = [(r["bucket"], r["places"], r["n"]) for r in histogram.collect()]  # cells of the grid at most
-    weights = spark.sparkContext.broadcast(learn(sorted(cells), order, 1.0 / (sums["kept_types"] + 1)))
+        cell = bucket.astype(np.int64)
+        for places in _cells(p[:, 1:]).T:
+            cell = cell << PLACE_BITS | np.minimum(places, (1 << PLACE_BITS) - 1)
+        cells, n = np.unique(cell, return_counts=True)
+        return pa.table({"cell": pa.array(cells, pa.int64()), "n": pa.array(n, pa.int64())})
+
+    histogram = together(blocks.where("dev"), answers.where("block % 2 = 1").select("block", "kind", "bucket", "kept"), gather, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+    seen = histogram.orderBy("cell").toArrow()  # cells of the grid at most, 16 bytes each
+    cell, n = (seen.column(k).to_numpy() for k in (0, 1))
+    places = np.stack([cell >> PLACE_BITS * k & (1 << PLACE_BITS) - 1 for k in reversed(range(order))], axis=1).astype(np.float64)
+    weights = share(spark, _learn(cell >> PLACE_BITS * order, places, n.astype(np.float64), 1.0 / (sums["kept_types"] + 1)))
 
     def finish(left: pa.Table, right: pa.Table) -> pa.Table:
         names = [f.split()[0] for f in _SCORES.split(", ")]
