@@ -15,6 +15,9 @@ SINGLE = ("Pool_Index_i7", "Genome")
 #: Genomes of older species names.
 GENOMES = {"Human": "GRCh38", "Mouse": "mm10", "Human + mouse": "GRCh38_mm10", "Macaque": "Mmul10", "Rat": "rat6"}
 
+#: Spellings of MaskWells.
+MASKED, UNMASKED = ("1", "1.0", "true"), ("0", "0.0", "false")
+
 
 def with_genome(metadata: DataFrame, genomes: dict[str, str] | None = None) -> DataFrame:
     """Genome from the older Species column where there is no Genome; unknown ones become Unknown__name."""
@@ -49,14 +52,14 @@ def violations(metadata: DataFrame) -> DataFrame:
     found.append(many.select(F.lit("single").alias("rule"), "column", F.col("n").cast("string").alias("value"), "rows"))
     if "MaskWells" in metadata.columns:
         text = F.col("MaskWells").cast("string")
-        bad = rows.where(text.isNotNull() & ~F.lower(text).isin("0", "1", "0.0", "1.0", "true", "false"))
+        bad = rows.where(text.isNotNull() & ~F.lower(text).isin(*MASKED, *UNMASKED))
         found.append(bad.groupBy(text.alias("value")).agg(F.count("*").alias("rows")).select(F.lit("mask").alias("rule"), F.lit("MaskWells").alias("column"), "value", "rows"))
     return reduce(DataFrame.unionByName, found)
 
 
 def masked(metadata: DataFrame) -> DataFrame:
-    """MaskWells as a boolean; null is false."""
-    return metadata.withColumn("MaskWells", F.coalesce(F.col("MaskWells").try_cast("boolean"), F.lit(False)))
+    """MaskWells as a boolean, by the spellings that ``violations`` accepts; null and others are false."""
+    return metadata.withColumn("MaskWells", F.coalesce(F.lower(F.col("MaskWells").cast("string")).isin(*MASKED), F.lit(False)))
 
 
 def missing_indices(metadata: DataFrame, sample_sheet: DataFrame) -> DataFrame:
