@@ -398,7 +398,7 @@ _LEN = (
 
 def _norm(value: str, column: str, shorter: str = "0", counted: str = "true") -> str:
     grid = f"""SELECT w.bc_idx, len.gene, coalesce(c.n, 0) AS n, greatest(CAST(len.length AS DOUBLE) - {shorter}, 0) AS l, {counted} AS counted
-        FROM w CROSS JOIN (SELECT * FROM len WHERE gene < 60) len LEFT JOIN (SELECT bc_idx, gene, count(*) AS n FROM rg GROUP BY ALL) c ON w.bc_idx = c.bc_idx AND len.gene = c.gene"""
+        FROM w CROSS JOIN len LEFT JOIN (SELECT bc_idx, gene, count(*) AS n FROM rg GROUP BY ALL) c ON w.bc_idx = c.bc_idx AND len.gene = c.gene"""
     return _with(_W, _X, _G, *_LEN, ("grid", grid), ("rate", "SELECT *, CASE WHEN l > 0 THEN n / l END AS rate FROM grid")) + f"SELECT bc_idx, gene, round(coalesce({value}, 0), 4) AS {column} FROM rate"
 
 
