@@ -206,22 +206,53 @@ def op2_license_scan(spark, sf_dir: str) -> DataFrame:
 
 
 def _sql() -> str:
-    rows = ", ".join("('{}', '{}')".format(k, v.replace("'", "''")) for k, v in sorted(TEMPLATES.items()))
+    """The scan as nested loops: every run of each template from one of its bigrams to another, and every line."""
+    rows = ", ".join("('{}', '{}')".format(k, v.replace("'", "''")) for k, v in sorted((TEMPLATES | TEXTS).items()))
     words = r"list_filter(string_split(regexp_replace(lower({}), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+', ' ', 'g'), ' '), lambda w: w <> '')"
     grams = "list_distinct(CASE WHEN len(w) = 1 THEN w ELSE list_transform(range(1, len(w)), lambda i: concat(w[i], ' ', w[i + 1])) END)"
+    low, high, place = f"{THRESHOLD} / (2 - {THRESHOLD})", f"(2 - {THRESHOLD}) / {THRESHOLD}", 1 << 32
     return f"""
-WITH t AS (
+WITH RECURSIVE t AS (
   SELECT license, len(g) AS size, g FROM (
     SELECT license, {grams} AS g FROM (SELECT license, {words.format("notice")} AS w FROM (VALUES {rows}) v(license, notice)) x) y
+), d AS (
+  SELECT row_number() OVER () AS r, doc_id, text FROM (SELECT DISTINCT doc_id, text FROM documents WHERE text IS NOT NULL) x
 ), l AS (
-  SELECT doc_id, unnest(range(len(s))) AS line, unnest(s) AS body FROM (SELECT doc_id, string_split(text, chr(10)) AS s FROM documents WHERE text IS NOT NULL) x
-), g AS (
-  SELECT doc_id, line, {grams} AS g FROM (SELECT doc_id, line, {words.format("body")} AS w FROM l) x WHERE len(w) > 0
+  SELECT r, doc_id, line, {words.format("body")} AS w FROM (
+    SELECT r, doc_id, unnest(range(len(s))) AS line, unnest(s) AS body FROM (SELECT r, doc_id, string_split(text, chr(10)) AS s FROM d) x) y
+), lines AS (
+  SELECT r, doc_id, license, line * {place} AS a, line * {place} + {place - 1} AS b, round(2.0 * len(list_intersect(g.g, t.g)) / (len(g.g) + t.size), 6) AS dice
+  FROM (SELECT r, doc_id, line, {grams} AS g FROM l WHERE len(w) > 0) g JOIN t ON t.size >= len(g.g) * {low} AND t.size <= len(g.g) * {high}
+), w AS (
+  SELECT r, doc_id, word, line * {place} + i AS place, row_number() OVER (PARTITION BY r ORDER BY line, i) AS pos
+  FROM (SELECT r, doc_id, line, unnest(range(len(w))) AS i, unnest(w) AS word FROM l) x
+), p AS (
+  SELECT r, doc_id, pos, place AS a, lead(place) OVER n AS b, concat(word, ' ', lead(word) OVER n) AS bigram, lead(word) OVER n IS NOT NULL AS whole FROM w WINDOW n AS (PARTITION BY r ORDER BY pos)
+), h AS (
+  SELECT p.*, license, size, coalesce(lag(pos) OVER (PARTITION BY r, license, p.bigram ORDER BY pos), 0) AS before
+  FROM p JOIN (SELECT license, size, unnest(g) AS bigram FROM t) k ON p.bigram = k.bigram WHERE whole
+), able AS (
+  SELECT r, license FROM h GROUP BY r, license, size HAVING count(DISTINCT bigram) >= ceil(size * {low} - 1e-9)
+), e AS (
+  SELECT x.r, x.doc_id, x.license, x.pos AS first, x.a, y.b, y.pos AS last, x.size, row_number() OVER n AS seen, sum(CASE WHEN y.before < x.pos THEN 1 ELSE 0 END) OVER n AS kinds
+  FROM h x JOIN able USING (r, license) JOIN h y ON x.r = y.r AND x.license = y.license AND y.pos BETWEEN x.pos AND x.pos + floor(x.size * {high} + 1e-9) - 1
+  WINDOW n AS (PARTITION BY x.r, x.license, x.pos ORDER BY y.pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+), runs AS (
+  SELECT r, doc_id, license, a, b, dice FROM (SELECT *, round(2.0 * kinds / (last - first + 1 - seen + kinds + size), 6) AS dice FROM e) x
+  QUALIFY row_number() OVER (PARTITION BY r, license, first ORDER BY dice DESC, last) = 1
 ), m AS (
-  SELECT doc_id, license, line, round(2.0 * len(list_intersect(g.g, t.g)) / (len(g.g) + t.size), 6) AS dice
-  FROM g JOIN t ON t.size >= len(g.g) * {THRESHOLD} / (2 - {THRESHOLD}) AND t.size <= len(g.g) * (2 - {THRESHOLD}) / {THRESHOLD}
+  SELECT *, row_number() OVER (PARTITION BY r, license ORDER BY a, b, dice) AS n
+  FROM (SELECT * FROM lines WHERE dice >= {THRESHOLD} UNION SELECT * FROM runs WHERE dice >= {THRESHOLD}) x
+), kept AS (
+  SELECT r, doc_id, license, n, 1 AS chain, a, b, dice FROM m WHERE n = 1
+  UNION ALL
+  SELECT m.r, m.doc_id, m.license, m.n, chain + CASE WHEN m.a > k.b THEN 1 ELSE 0 END, CASE WHEN m.a > k.b OR m.dice > k.dice THEN m.a ELSE k.a END,
+         CASE WHEN m.a > k.b OR m.dice > k.dice THEN m.b ELSE k.b END, CASE WHEN m.a > k.b OR m.dice > k.dice THEN m.dice ELSE k.dice END
+  FROM kept k JOIN m ON m.r = k.r AND m.license = k.license AND m.n = k.n + 1
+), best AS (
+  SELECT r, doc_id, license, a // {place} AS line, dice FROM kept QUALIFY row_number() OVER (PARTITION BY r, license, chain ORDER BY n DESC) = 1
 )
-SELECT doc_id, license, min(line) AS first_line, count(*) AS n_lines, max(dice) AS dice FROM m WHERE dice >= {THRESHOLD} GROUP BY doc_id, license
+SELECT doc_id, license, min(line) AS first_line, count(DISTINCT concat(r, '.', line)) AS n_lines, max(dice) AS dice FROM best GROUP BY doc_id, license
 """
 
 
