@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, shuffle_parts
+from .common import Scratch, cut_batches, freeing, giving_back, shuffle_parts
 from .tokens import encoder
 
 MIN_CHUNK, MEAN_BITS, MAX_CHUNK, WINDOW = 64, 8, 1024, 16
@@ -92,12 +92,14 @@ def _encode(path: str, end_id: int, narrow: bool):
     def run(batches):
         enc, seen, part, row = encoder(path), set(), TaskContext.get().partitionId(), 0
         end = np.array([end_id], "<u4").tobytes()
-        for batch in batches:
+        for batch in cut_batches(batches, 1):
             docs = batch.column(0).to_pylist()
             texts = batch.column(1).to_pylist()
             for i in range(0, len(texts), 256):
                 coded = [enc.encode(t or "") + end for t in texts[i : i + 256]]
                 ids = np.frombuffer(b"".join(coded), "<u4")
+                if narrow and ids.max(initial=0) > 0xFFFF:
+                    raise ValueError("an id of the tokenizer does not fit in 16 bits")
                 raw = ids.astype(width).tobytes()
                 step, at = ids.itemsize // (2 if narrow else 1), 0
                 fresh: dict[bytes, bytes] = {}
@@ -161,6 +163,20 @@ def _roots(batches):
         yield _batch({"part": [part], "n_tokens": [tokens], "root": [merkle(roots)]}, "part int, n_tokens long, root binary")
 
 
+def _summed(recipes: DataFrame) -> list[tuple[int, int, int, bytes]]:
+    """part, first_id, n_tokens, Merkle root of each part of ``recipes``; as many rows as parts, whatever the input."""
+    parts = shuffle_parts(recipes.sparkSession)
+    sums = (
+        recipes.select("part", "row", "n_tokens", "root").repartition(parts, "part").sortWithinPartitions("part", "row")
+        .select("part", "n_tokens", "root").mapInArrow(_roots, "part int, n_tokens long, root binary")
+    )
+    rows, first, listed = sorted(sums.collect(), key=lambda r: r["part"]), 0, []
+    for r in rows:
+        listed.append((r["part"], first, r["n_tokens"], bytes(r["root"])))
+        first += r["n_tokens"]
+    return listed
+
+
 class TokenStore:
     """A written store; ``chunks``, ``recipes`` and ``manifest`` are its tables, read from its files."""
 
@@ -168,14 +184,17 @@ class TokenStore:
         self.chunks, self.recipes, self.manifest, self.narrow = chunks, recipes, manifest, narrow
 
 
-def write_store(spark: SparkSession, docs: DataFrame, path: str, end_id: int = 0, scratch: Scratch | None = None, max_id: int = 1 << 16) -> TokenStore:
-    """Tokenise ``docs`` (doc_id, text) and write a store. ``max_id``: ids lie below it; 16 bits hold them if they can."""
+def write_store(spark: SparkSession, docs: DataFrame, path: str, end_id: int = 0, scratch: Scratch | None = None, max_id: int | None = None) -> TokenStore:
+    """Tokenise ``docs`` (doc_id, text) and write a store. ``max_id``: ids lie below it (None: as the tokenizer says); 16 bits hold them if they can."""
     scratch = scratch or Scratch(spark, "token-store")
+    if max_id is None:
+        max_id = max(end_id, largest_id(path)) + 1
     narrow = max_id <= 1 << 16
-    coded = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_encode(path, end_id, narrow), _PACK)
+    coded = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(giving_back(_encode(path, end_id, narrow)), _PACK)
     # one shuffle by digest serves both tables: a chunk meets its copies, a recipe has a key of its own
     once = coded.groupBy("kind", "key").agg(*(F.first(c).alias(c) for c in ("payload", "doc_id", "n_tokens", "digests", "lengths")))
-    once.write.option("compression", "zstd").partitionBy("kind").parquet(scratch.path("pack"))
+    with freeing(spark):
+        once.write.option("compression", "zstd").partitionBy("kind").parquet(scratch.path("pack"))
     pack = spark.read.schema(once.schema).parquet(scratch.path("pack"))
     chunks = pack.where("kind = 'chunk'").select(F.col("key").alias("digest"), "payload")
     # salted by the row key, so that even one doc_id on many rows is dealt over parts
@@ -186,19 +205,18 @@ def write_store(spark: SparkSession, docs: DataFrame, path: str, end_id: int = 0
         .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "key")
     )
     recipes = scratch.table(ordered.drop("key").mapInArrow(_number, _RECIPE), "recipe")
-    sums = (
-        recipes.select("part", "row", "n_tokens", "root").repartition(shuffle_parts(spark), "part").sortWithinPartitions("part", "row")
-        .select("part", "n_tokens", "root").mapInArrow(_roots, "part int, n_tokens long, root binary")
-    )
-    # as many rows as parts, whatever the input; the running sum over them is the driver's only part in this
-    rows, first, listed = sorted((r for r in sums.collect()), key=lambda r: r["part"]), 0, []
-    for r in rows:
-        listed.append((r["part"], first, r["n_tokens"], bytes(r["root"])))
-        first += r["n_tokens"]
+    listed = _summed(recipes)
     manifest = scratch.table(spark.createDataFrame(listed, "part int, first_id long, n_tokens long, root binary"), "manifest")
     return TokenStore(chunks, recipes, manifest, narrow)
 
 
+def largest_id(path: str) -> int:
+    """The largest id that the tokenizer of a file gives."""
+    from tokenizers import Tokenizer
+
+    return max(Tokenizer.from_file(path).get_vocab(with_added_tokens=True).values(), default=0)
+
+
 def crc_shift(n_bytes: int) -> int:
     """x to the power of 8 ``n_bytes`` modulo the CRC-32 polynomial, in reflected bits."""
     out, factor = 1 << 31, 1 << 23
@@ -243,6 +261,8 @@ def _verify(batches):
         x = batch.to_pydict()
         crcs = []
         for found, n_tokens, root in zip(x["found"], x["n_tokens"], x["root"], strict=True):
+            if found is None or any(f["n"] is None for f in found):
+                raise ValueError("a document's chunk is not in the store")
             found = sorted((f["pos"], f["n"], f["crc"], f["digest"]) for f in found)
             if sum(f[1] for f in found) != n_tokens or merkle([f[3] for f in found]) != root:
                 raise ValueError("a document does not match its recipe")
@@ -256,18 +276,21 @@ def _verify(batches):
 
 
 def read_back(store: TokenStore) -> DataFrame:
-    """doc_id, start, n_tokens, ids_crc32 of each document, from the stored chunks.
+    """doc_id, start, n_tokens, ids_crc32 of each document, from the stored chunks; ValueError if the store isn't whole.
 
-    A chunk's checksum is taken from its stored bytes once; a document's is combined from those of its chunks, so no
+    Every chunk is held against its address, every document's chunks against its root, and the documents of every part against
+    the manifest. A chunk's checksum is taken from its stored bytes once; a document's is combined from those of its chunks, so no
     id is moved. Chunks of many copies make one key hot: their join can be split, as nothing groups by it.
     """
+    if _summed(store.recipes) != [(r["part"], r["first_id"], r["n_tokens"], bytes(r["root"])) for r in sorted(store.manifest.collect(), key=lambda r: r["part"])]:
+        raise ValueError("the recipes do not match the manifest")
     facts = store.chunks.mapInArrow(_chunk_facts(store.narrow), "digest binary, n int, crc long")
     refs = store.recipes.select("part", "row", F.posexplode("digests").alias("pos", "digest"))
-    met = refs.join(facts, "digest")
+    met = refs.join(facts, "digest", "left")
     docs = met.groupBy("part", "row").agg(F.collect_list(F.struct("pos", "n", "crc", "digest")).alias("found"))
     heads = store.recipes.select("part", "row", "doc_id", "start_in_part", "n_tokens", "root").join(store.manifest.select("part", "first_id"), "part")
     return (
-        heads.join(docs, ["part", "row"])
+        heads.join(docs, ["part", "row"], "left")
         .select("doc_id", (F.col("first_id") + F.col("start_in_part")).alias("start"), "n_tokens", "root", "found")
         .mapInArrow(_verify, "doc_id long, start long, n_tokens long, ids_crc32 long")
     )
@@ -276,13 +299,16 @@ def read_back(store: TokenStore) -> DataFrame:
 def read_ids(store: TokenStore) -> DataFrame:
     """doc_id, start and the ids themselves (array<int>), put together from chunks."""
     refs = store.recipes.select("part", "row", F.posexplode("digests").alias("pos", "digest"))
-    docs = refs.join(store.chunks, "digest").groupBy("part", "row").agg(F.sort_array(F.collect_list(F.struct("pos", "payload"))).alias("found"))
+    docs = refs.join(store.chunks, "digest", "left").groupBy("part", "row").agg(F.sort_array(F.collect_list(F.struct("pos", "payload"))).alias("found"))
     heads = store.recipes.join(store.manifest.select("part", "first_id"), "part").select("part", "row", "doc_id", (F.col("first_id") + F.col("start_in_part")).alias("start"))
     width = "<u2" if store.narrow else "<u4"
 
     def join(batches):
         for batch in batches:
-            ids = [np.frombuffer(b"".join(f["payload"] for f in found), width).astype("i4") for found in batch.column(2).to_pylist()]
+            rows = batch.column(2).to_pylist()
+            if any(found is None or any(f["payload"] is None for f in found) for found in rows):
+                raise ValueError("a document's chunk is not in the store")
+            ids = [np.frombuffer(b"".join(f["payload"] for f in found), width).astype("i4") for found in rows]
             yield pa.record_batch([batch.column(0), batch.column(1), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "start", "ids"])
 
-    return heads.join(docs, ["part", "row"]).select("doc_id", "start", "found").mapInArrow(join, "doc_id long, start long, ids array<int>")
+    return heads.join(docs, ["part", "row"], "left").select("doc_id", "start", "found").mapInArrow(join, "doc_id long, start long, ids array<int>")
