@@ -12,7 +12,7 @@ from array import array
 from operator import attrgetter
 
 #: Bytes that a worker's cache of units, and its cache of other pre-tokens, hold at most.
-CACHE_BYTES, PIECE_BYTES = 96 << 20, 16 << 20
+CACHE_BYTES, PIECE_BYTES = 384 << 20, 16 << 20
 #: Longer texts, and more bytes of ids, are not kept; so an entry takes ENTRY_BYTES at most (two objects and its place).
 LONGEST, MOST_IDS, ENTRY_BYTES = 24, 40, 280
 _ID = attrgetter("id")
@@ -74,13 +74,20 @@ class Encoder:
         )
         self.pieces = _Cache(self.ids_of, PIECE_BYTES)
         self.piece = self.pieces.__getitem__
-        prefix = " " if self.spaced else ""
-        self.inner = _Cache(lambda unit: self.unit(unit, prefix), CACHE_BYTES)
+        self.prefix, self.lead = (" ", self.space) if self.spaced else ("", "")
+        self.tokens = self.model.tokenize
+        self.inner = _Cache(self.follow, CACHE_BYTES)
 
     def whole(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return array("I", ids).tobytes()
 
+    def follow(self, unit: str) -> bytes:
+        """Ids of a unit that is kept: one after a space, or any unit where spaces are dropped."""
+        if unit.isascii() and unit.isalpha():  # one pre-token
+            return array("I", map(_ID, self.tokens(self.lead + (unit if self.normalizer is None else unit.lower())))).tobytes()
+        return self.unit(unit, self.prefix)
+
     def unit(self, unit: str, prefix: str) -> bytes:
         """Ids of a unit that follows a space (prefix " ") or starts the text (prefix "")."""
         if unit.isalpha() and (unit.isascii() or max(unit) < "\u0250"):  # letters only: one pre-token, kept as a unit
@@ -112,7 +119,7 @@ class Encoder:
             mapped = piece.replace(" ", self.space)
         else:
             mapped = piece.encode().decode("latin-1").translate(self.alphabet)
-        return array("I", map(_ID, self.model.tokenize(mapped))).tobytes()
+        return array("I", map(_ID, self.tokens(mapped))).tobytes()
 
     def encode(self, text: str) -> bytes:
         if not self.known or any(t in text for t in self.added):
