@@ -42,8 +42,8 @@ GROUP = 1 << 14
 MEAN_GROUP = 1 << 12
 #: Bytes of a sketch, how many of them make a key, and how often a group that is too large is dealt again.
 BINS, KEY_BINS, REFINE = 64, 4, 3
-#: Bits that two texts of 0.8 differ in: about 9.7, with a deviation of 2.9.
-WIDE_DIFF = 16
+#: Bits that two texts of 0.8 differ in: about 9.7, with a deviation of 2.9, and more where shingles repeat in one of them.
+WIDE_DIFF = 24
 #: Least estimates of three passes over a group; below the last, with its deviation of 0.05, no pair of 0.8 is expected.
 STEPS = (0.9, 0.8, 0.65)
 

@@ -23,12 +23,13 @@ def test_stages(spark, tmp_path):
     kept = {r["doc_id"] for r in seen["quality classifier"].collect()}
     assert sum(i in kept for i, q in labels.items() if q) >= 0.97 * sum(labels.values())
     lines = {r["doc_id"]: r["text"] for r in seen["line dedup"].collect()}
-    codes = {i: simhash.fingerprint((t or "").encode()) for i, t in lines.items()}
+    # components of texts whose sets of five-word shingles are 0.8 alike or more
+    sets = {i: set(simhash.shingle_hashes((t or "").encode(), 5).tolist()) for i, t in lines.items()}
     left = {r["doc_id"]: r["text"] for r in seen["simhash near-dedup"].collect()}
-    group = {i: i for i in codes}
-    for i in sorted(codes):
-        for j in codes:
-            if group[i] != group[j] and (codes[i] ^ codes[j]).bit_count() <= 3:
+    group = {i: i for i in sets}
+    for i in sorted(sets):
+        for j in sets:
+            if group[i] != group[j] and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
                 a, b = sorted((group[i], group[j]))
                 group = {k: a if g == b else g for k, g in group.items()}
     assert set(left) == set(group.values()) and all(left[i] == lines[i] for i in left)
