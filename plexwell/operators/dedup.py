@@ -80,9 +80,11 @@ def _checkpoint(df: DataFrame, staging: str | None) -> DataFrame:
     if not context.getCheckpointDir():
         told = context.getConf().get("spark.checkpoint.dir") or staging
         if told is None:
+            if context.master.split("[")[0] != "local":
+                raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
             import tempfile
 
-            told = tempfile.mkdtemp(prefix="plexwell-")  # no cluster: one machine without settings
+            told = tempfile.mkdtemp(prefix="plexwell-")
         context.setCheckpointDir(told)
     return df.checkpoint()
 
