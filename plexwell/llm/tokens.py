@@ -8,7 +8,9 @@ bounded bytes; a text where that rule might not hold goes through the whole toke
 from __future__ import annotations
 
 import json
+import re
 from array import array
+from codecs import charmap_decode
 from operator import attrgetter
 
 #: Bytes that a worker's cache of units, and its cache of other pre-tokens, hold at most.
@@ -20,6 +22,8 @@ _ID = attrgetter("id")
 
 #: Marks that are pre-tokens of their own after a word (apostrophes may start a contraction).
 _MARKS = frozenset(".,;:!?")
+#: All letters below U+0250, where the character tables of two regex engines can't differ.
+_LETTERS = re.compile("[A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+").fullmatch
 
 
 class _Unsafe(Exception):
@@ -67,7 +71,8 @@ class Encoder:
         # The usual byte alphabet of byte-level models: printable Latin-1 stands for itself, the rest follows from 256 on.
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
         rest = [b for b in range(256) if b not in set(plain)]
-        self.alphabet = {b: chr(256 + i) for i, b in enumerate(rest)}
+        told = {b: chr(256 + i) for i, b in enumerate(rest)}
+        self.alphabet = "".join(told.get(b, chr(b)) for b in range(256))
         self.space = self.alphabet[32]
         self.known = spec.get("added_tokens") is not None and (
             split is not None or pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space")
@@ -86,16 +91,18 @@ class Encoder:
         """Ids of a unit that is kept: one after a space, or any unit where spaces are dropped."""
         if unit.isascii() and unit.isalpha():  # one pre-token
             return array("I", map(_ID, self.tokens(self.lead + (unit if self.normalizer is None else unit.lower())))).tobytes()
+        if self.normalizer is None and _LETTERS(unit):  # so are these
+            return array("I", map(_ID, self.tokens(self.lead + charmap_decode(unit.encode(), "strict", self.alphabet)[0]))).tobytes()
         return self.unit(unit, self.prefix)
 
     def unit(self, unit: str, prefix: str) -> bytes:
         """Ids of a unit that follows a space (prefix " ") or starts the text (prefix "")."""
-        if unit.isalpha() and (unit.isascii() or max(unit) < "\u0250"):  # letters only: one pre-token, kept as a unit
+        if _LETTERS(unit):  # letters only: one pre-token, kept as a unit
             told = prefix + unit if self.normalizer is None else unit.lower()
             if self.normalizer is None or told.isalpha():  # lower-casing may bring marks
                 return self.ids_of(told)
         word, last = unit[:-1], unit[-1:]
-        if last in _MARKS and word.isalpha() and (word.isascii() or max(word) < "\u0250"):  # a word and a mark: two
+        if last in _MARKS and _LETTERS(word):  # a word and a mark: two
             if self.normalizer is None or word.lower().isalpha():
                 return (self.inner[word] if prefix or not self.spaced else self.ids_of(word)) + self.piece(last)
         if not unit or unit[0].isspace():
@@ -115,10 +122,7 @@ class Encoder:
 
     def ids_of(self, piece: str) -> bytes:
         """Ids of one pre-token."""
-        if piece.isascii() and piece.isprintable():
-            mapped = piece.replace(" ", self.space)
-        else:
-            mapped = piece.encode().decode("latin-1").translate(self.alphabet)
+        mapped = charmap_decode(piece.encode(), "strict", self.alphabet)[0]
         return array("I", map(_ID, self.tokens(mapped))).tobytes()
 
     def encode(self, text: str) -> bytes:
