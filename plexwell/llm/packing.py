@@ -96,11 +96,13 @@ def placements(patterns: list[tuple[Counter, int]]) -> np.ndarray:
 def _cut(path: str, end_id: int, capacity: int):
     def run(batches):
         enc, part, nth = encoder(path), TaskContext.get().partitionId(), Counter()
-        end = np.array([end_id], "<u4").tobytes()
         for batch in cut_batches(batches, 1):
             cols: list[list] = [[] for _ in range(7)]
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                raw = enc.encode(text or "") + end
+            found, counts = enc.encode_all(batch.column(1))
+            ends = np.cumsum(counts)
+            coded, ends = memoryview(np.insert(found, ends, end_id)).cast("B"), 4 * (ends + np.arange(1, len(ends) + 1))
+            for doc, first, last in zip(batch.column(0).to_pylist(), [0, *ends.tolist()], ends.tolist(), strict=False):
+                raw = coded[first:last]
                 for k, at in enumerate(range(0, len(raw), 4 * capacity)):
                     cut = raw[at : at + 4 * capacity]
                     n = len(cut) // 4

@@ -91,19 +91,21 @@ def _encode(path: str, end_id: int, narrow: bool):
 
     def run(batches):
         enc, seen, part, row = encoder(path), set(), TaskContext.get().partitionId(), 0
-        end = np.array([end_id], "<u4").tobytes()
         for batch in cut_batches(batches, 1):
             docs = batch.column(0).to_pylist()
-            texts = batch.column(1).to_pylist()
-            for i in range(0, len(texts), 256):
-                coded = [enc.encode(t or "") + end for t in texts[i : i + 256]]
-                ids = np.frombuffer(b"".join(coded), "<u4")
-                if narrow and ids.max(initial=0) > 0xFFFF:
-                    raise ValueError("an id of the tokenizer does not fit in 16 bits")
+            found, counts = enc.encode_all(batch.column(1))
+            ends = np.cumsum(counts)
+            coded, lengths = np.insert(found, ends, end_id), (counts + 1).tolist()
+            ends = [0, *(ends + np.arange(1, len(ends) + 1)).tolist()]
+            if narrow and coded.max(initial=0) > 0xFFFF:
+                raise ValueError("an id of the tokenizer does not fit in 16 bits")
+            for i in range(0, len(docs), 256):
+                sizes_here = lengths[i : i + 256]
+                ids = coded[ends[i] : ends[min(i + 256, len(docs))]]
                 raw = ids.astype(width).tobytes()
                 step, at = ids.itemsize // (2 if narrow else 1), 0
                 fresh: dict[bytes, bytes] = {}
-                heads, sums, recipes, cuts = [], [], [], boundaries(ids, [len(c) // 4 for c in coded])
+                heads, sums, recipes, cuts = [], [], [], boundaries(ids, sizes_here)
                 for sizes in cuts:
                     keys = []
                     for n in sizes:

@@ -1,22 +1,30 @@
-"""Exact tokenisation with a cache of units between spaces.
+"""Exact tokenisation of whole batches, each unit between spaces once.
 
 A byte-pair model works on pre-tokens, and no pre-token of the supported tokenizers runs across a single space, so a
-text's ids are the ids of its space-separated units in order. A unit met before is looked up in a cache of
-bounded bytes; a text where that rule might not hold goes through the whole tokenizer.
+text's ids are the ids of its space-separated units in order. A batch's texts are split and their units numbered by Arrow;
+each different unit is looked up once in a cache of bounded bytes, and a text's ids are gathered by number. A text where that
+rule might not hold goes through the whole tokenizer.
 """
 
 from __future__ import annotations
 
+import gc
 import json
 import re
 from array import array
 from codecs import charmap_decode
+from itertools import accumulate, chain, pairwise
 from operator import attrgetter
 
-#: Bytes that a worker's cache of units, and its cache of other pre-tokens, hold at most.
-CACHE_BYTES, PIECE_BYTES = 384 << 20, 16 << 20
-#: Longer texts, and more bytes of ids, are not kept; so an entry takes ENTRY_BYTES at most (two objects and its place).
-LONGEST, MOST_IDS, ENTRY_BYTES = 24, 40, 280
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
+#: Units of up to WIDTH bytes are kept, in two tables of SLOTS places (32 bytes each) for as many entries as LOAD of them; MOST_IDS: ids of an entry at most.
+#: So both take 64 MB and 88 MB at worst for ids (measured: 3.5 ids a unit, 20 MB). Other pre-tokens: at most PIECES in each of two dicts, of 280 bytes at most.
+WIDTH, SLOTS, LOAD, MOST_IDS, PIECES = 24, 1 << 20, 0.7, 15, 30_000
+#: Units that are told at a time.
+SOME = 16384
 _ID = attrgetter("id")
 
 
@@ -26,31 +34,119 @@ _MARKS = frozenset(".,;:!?")
 _LETTERS = re.compile("[A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+").fullmatch
 
 
-class _Unsafe(Exception):
-    """The unit's ids may depend on what stands beside it."""
+def _spread(first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """Places first, first + 1, ... of each run, one run after another."""
+    ends = np.cumsum(count)
+    return np.repeat(first - (ends - count), count) + np.arange(ends[-1] if len(ends) else 0)
+
+
+def _keys(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of each text as WIDTH / 8 words, filled with zeros, and whether the text is told by them (short, not empty, without a zero)."""
+    starts = np.frombuffer(texts.buffers()[1], np.int32 if texts.type == pa.string() else np.int64, len(texts) + 1 + texts.offset)[texts.offset :]
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[: starts[-1]]
+    size = np.diff(starts)
+    shown = np.lib.stride_tricks.sliding_window_view(np.concatenate((data, np.zeros(WIDTH, np.uint8))), WIDTH)[starts[:-1]]
+    shown = shown * (np.arange(WIDTH, dtype=np.uint8) < np.minimum(size, WIDTH)[:, None])
+    return shown.view(np.uint64), np.count_nonzero(shown, axis=1) == np.where(size, size, -1)
 
 
-class _Cache(dict):
-    """Values by text in two generations: when the young one is full, it replaces the old one, and what is used comes back."""
+class _Table:
+    """Ids by key with open addressing, all in a few arrays: a place takes 32 bytes, not the hundreds of two Python objects."""
 
-    def __init__(self, make, limit: int):
-        super().__init__()
-        self.make, self.most, self.old = make, max(1, limit // (2 * ENTRY_BYTES)), {}
+    def __init__(self, bits: int = 12):
+        self.bits, self.used, self.n_ids = bits, 0, 0
+        self.keys, self.place = np.zeros((1 << bits, WIDTH // 8), np.uint64), np.zeros(1 << bits, np.int64)
+        self.ids = np.zeros(1 << bits, np.uint32)
 
-    def __missing__(self, text: str) -> bytes:
-        out = self.old.get(text)
-        if out is None:
-            out = self.make(text)
-        if len(text) <= LONGEST and len(out) <= MOST_IDS:
-            if len(self) >= self.most:
-                self.old = dict(self)
-                self.clear()
-            self[text] = out
+    def slots(self, keys: np.ndarray) -> np.ndarray:
+        h = np.zeros(len(keys), np.uint64)
+        for k in range(keys.shape[1]):
+            h = (h ^ keys[:, k]) * np.uint64(0x9E3779B97F4A7C15)
+            h ^= h >> np.uint64(29)
+        return (h * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Where each key's entry is, or -1."""
+        out, left, at = np.full(len(keys), -1), np.arange(len(keys)), self.slots(keys)
+        while left.size:
+            here = self.keys[at]
+            same = (here == keys[left]).all(axis=1)
+            out[left[same]] = self.place[at[same]]
+            on = ~same & (here[:, 0] != 0)  # no key starts with a zero
+            left, at = left[on], (at[on] + 1) & ((1 << self.bits) - 1)
         return out
 
+    def _settle(self, keys: np.ndarray, place: np.ndarray) -> None:
+        left, at = np.arange(len(keys)), self.slots(keys)
+        while left.size:
+            free = self.keys[at, 0] == 0
+            mine, spot = left[free], at[free]
+            self.place[spot] = mine  # of several, one is the last
+            won = self.place[spot] == mine
+            self.keys[spot[won]], self.place[spot[won]] = keys[mine[won]], place[mine[won]]
+            on = ~free
+            on[np.flatnonzero(free)[~won]] = True
+            left, at = left[on], (at[on] + 1) & ((1 << self.bits) - 1)
+
+    def add(self, keys: np.ndarray, ids: np.ndarray, count: np.ndarray) -> None:
+        """Entries of different keys that it doesn't hold; an entry is the place of its first id and how many there are."""
+        while self.used + len(keys) > LOAD * (1 << self.bits):
+            full = self.keys[:, 0] != 0
+            keys_before, place_before = self.keys[full], self.place[full]
+            self.bits += 1
+            self.keys, self.place = np.zeros((1 << self.bits, WIDTH // 8), np.uint64), np.zeros(1 << self.bits, np.int64)
+            self._settle(keys_before, place_before)
+        end = self.n_ids + len(ids)
+        if end > len(self.ids):
+            self.ids = np.concatenate((self.ids[: self.n_ids], np.zeros(max(end, 3 * self.n_ids // 2) - self.n_ids, np.uint32)))
+        self.ids[self.n_ids : end] = ids
+        self._settle(keys, (self.n_ids + np.cumsum(count) - count) << 8 | count)
+        self.used, self.n_ids = self.used + len(keys), end
+
+
+class _Units:
+    """Two tables: when the young one is full, it replaces the old one, and what is used comes back."""
+
+    def __init__(self):
+        self.young, self.old = _Table(), _Table()
+
+    def get(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of the texts one after another, how many each has, and which are not kept (0 ids)."""
+        keys, told = _keys(texts)
+        told = np.flatnonzero(told)
+        keys = keys[told]
+        place, count, ids = self.young.find(keys), np.zeros(len(texts), np.int64), []
+        missed = np.flatnonzero(place < 0)
+        back = self.old.find(keys[missed])
+        found, back = missed[back >= 0], back[back >= 0]
+        young = place >= 0
+        count[told[young]], count[told[found]] = place[young] & 255, back & 255
+        ends = np.cumsum(count)
+        ids = np.empty(ends[-1] if len(ends) else 0, np.uint32)
+        for table, some, at in ((self.young, told[young], place[young]), (self.old, told[found], back)):
+            ids[_spread((ends - count)[some], at & 255)] = table.ids[_spread(at >> 8, at & 255)]
+        if len(found):
+            self._add(keys[found], self.old.ids[_spread(back >> 8, back & 255)], back & 255)
+        fresh = np.ones(len(texts), bool)
+        fresh[told[young]] = fresh[told[found]] = False
+        return ids, count, fresh
+
+    def put(self, texts: pa.Array, ids: np.ndarray, count: np.ndarray) -> None:
+        """Keep what ``get`` did not find."""
+        keys, told = _keys(texts)
+        told &= (count > 0) & (count <= MOST_IDS)
+        told[told] = self.young.find(keys[told]) < 0  # told meanwhile, as a part of another
+        self._add(keys[told], ids[np.repeat(told, count)], count[told])
+
+    def _add(self, keys: np.ndarray, ids: np.ndarray, count: np.ndarray) -> None:
+        most = int(LOAD * SLOTS)
+        if self.young.used + len(keys) > most:
+            self.young, self.old = _Table(), self.young
+        self.young.add(keys[:most], ids[: count[:most].sum()], count[:most])
+
 
 class Encoder:
-    """``encode(text)`` gives the ids as little-endian unsigned 32-bit integers, without added special tokens."""
+    """Ids as little-endian unsigned 32-bit integers, without added special tokens."""
 
     def __init__(self, path: str):
         import regex
@@ -77,37 +173,30 @@ class Encoder:
         self.known = spec.get("added_tokens") is not None and (
             split is not None or pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space")
         )
-        self.pieces = _Cache(self.ids_of, PIECE_BYTES)
-        self.piece = self.pieces.__getitem__
-        self.prefix, self.lead = (" ", self.space) if self.spaced else ("", "")
+        self.units, self.pieces, self.pieces_before = _Units(), {}, {}
         self.tokens = self.model.tokenize
-        self.inner = _Cache(self.follow, CACHE_BYTES)
 
     def whole(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return array("I", ids).tobytes()
 
-    def follow(self, unit: str) -> bytes:
-        """Ids of a unit that is kept: one after a space, or any unit where spaces are dropped."""
-        if unit.isascii() and unit.isalpha():  # one pre-token
-            return array("I", map(_ID, self.tokens(self.lead + (unit if self.normalizer is None else unit.lower())))).tobytes()
-        if self.normalizer is None and _LETTERS(unit):  # so are these
-            return array("I", map(_ID, self.tokens(self.lead + charmap_decode(unit.encode(), "strict", self.alphabet)[0]))).tobytes()
-        return self.unit(unit, self.prefix)
-
-    def unit(self, unit: str, prefix: str) -> bytes:
-        """Ids of a unit that follows a space (prefix " ") or starts the text (prefix "")."""
-        if _LETTERS(unit):  # letters only: one pre-token, kept as a unit
+    def cut(self, unit: str, prefix: str) -> str | list[str] | bytes | None:
+        """The pre-token or those of a unit that follows a space (prefix " ") or starts the text (""); its ids where only the library tells them.
+
+        None: they may depend on what stands beside it.
+        """
+        if _LETTERS(unit):
             told = prefix + unit if self.normalizer is None else unit.lower()
             if self.normalizer is None or told.isalpha():  # lower-casing may bring marks
-                return self.ids_of(told)
+                return told
         word, last = unit[:-1], unit[-1:]
         if last in _MARKS and _LETTERS(word):  # a word and a mark: two
-            if self.normalizer is None or word.lower().isalpha():
-                return (self.inner[word] if prefix or not self.spaced else self.ids_of(word)) + self.piece(last)
+            told = prefix + word if self.normalizer is None else word.lower()
+            if self.normalizer is None or told.isalpha():
+                return [told, last]
         if not unit or unit[0].isspace():
             if self.spaced and prefix:
-                raise _Unsafe
+                return None
             if not unit:
                 return b""
         told = prefix + unit
@@ -118,25 +207,120 @@ class Encoder:
                 told = self.normalizer.normalize_str(told)
         elif self.normalizer is not None:
             told = told.lower()
-        return b"".join(map(self.piece, self.find(told)))
+        return self.find(told)
+
+    def model_ids(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pre-tokens. Their bytes are told as the model's letters at once: byte 255, which no text holds, parts them."""
+        if not pieces:
+            return []
+        mapped = charmap_decode("\udcff".join(pieces).encode("utf-8", "surrogateescape"), "strict", self.alphabet)[0].split(self.alphabet[255])
+        found = list(map(self.tokens, mapped))
+        ids = array("I", map(_ID, chain.from_iterable(found))).tobytes()
+        return [ids[a:b] for a, b in pairwise(accumulate((4 * len(f) for f in found), initial=0))]
 
-    def ids_of(self, piece: str) -> bytes:
-        """Ids of one pre-token."""
-        mapped = charmap_decode(piece.encode(), "strict", self.alphabet)[0]
-        return array("I", map(_ID, self.tokens(mapped))).tobytes()
+    def make(self, units: list[str], prefix: str) -> list[bytes | None]:
+        """Ids of units that are not kept; None as in ``cut``."""
+        if self.normalizer is None:
+            cuts = [prefix + u if u.isascii() and u.isalpha() else self.cut(u, prefix) for u in units]
+        else:
+            cuts = [u.lower() if u.isascii() and u.isalpha() else self.cut(u, prefix) for u in units]
+        told = dict.fromkeys(chain.from_iterable(c for c in cuts if type(c) is list))
+        # letters are kept where they are kept as units, which many of them are elsewhere
+        skip, space = int(self.spaced), " " if self.spaced else ""
+        words = [p for p in told if p.startswith(space) and _LETTERS(p[skip:])]
+        others = list(told.keys() - set(words))
+        stems = pa.array([p[skip:] for p in words], pa.string())
+        ids, count, fresh = self.units.get(stems)
+        raw, ends = ids.tobytes(), np.cumsum(4 * count)
+        told.update((p, raw[a:b]) for p, a, b, new in zip(words, (ends - 4 * count).tolist(), ends.tolist(), fresh.tolist(), strict=True) if not new)
+        told.update((p, self.pieces.get(p) or self.pieces_before.get(p)) for p in others)
+        lone = dict.fromkeys(c for c in cuts if type(c) is str)
+        once = [p for p in lone if told.get(p) is None] + [p for p, x in told.items() if x is None and p not in lone]
+        told.update(zip(once, self.model_ids(once), strict=True))
+        made = [told[words[k]] for k in np.flatnonzero(fresh).tolist()]
+        self.units.put(stems.filter(pa.array(fresh)), *self._joined(made))
+        self.pieces.update((p, told[p]) for p in others if len(p) <= WIDTH and len(told[p]) <= 4 * MOST_IDS)
+        if len(self.pieces) > PIECES:
+            self.pieces, self.pieces_before = {}, self.pieces
+        return [told[c] if type(c) is str else b"".join(map(told.__getitem__, c)) if type(c) is list else c for c in cuts]
+
+    def inner(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of different units that follow a space, or of any units where spaces are dropped; how many each has; which are None in ``cut``."""
+        ids, count, fresh = self.units.get(units)
+        places = np.flatnonzero(fresh)
+        unsafe, parts, counts = np.zeros(len(units), bool), [ids], []
+        # some thousands at a time: each holds its pre-tokens and the model's tokens while it is told
+        for at in range(0, len(places), SOME):
+            some = units.take(pa.array(places[at : at + SOME]))
+            made = self.make(some.to_pylist(), " " if self.spaced else "")
+            unsafe[places[at : at + SOME]] = [x is None for x in made]
+            new, n = self._joined([x or b"" for x in made])
+            self.units.put(some, new, n)
+            parts.append(new)
+            counts.append(n)
+        if not counts:
+            return ids, count, unsafe
+        # first those found, then those made, dealt back to the order of the units
+        made = np.concatenate(counts)
+        first = np.cumsum(count) - count
+        first[places] = len(ids) + np.cumsum(made) - made
+        count[places] = made
+        return np.concatenate(parts)[_spread(first, count)], count, unsafe
 
     def encode(self, text: str) -> bytes:
-        if not self.known or any(t in text for t in self.added):
-            return self.whole(text)
-        units = text.split(" ")
+        return self.encode_all(pa.array([text], pa.string()))[0].tobytes()
+
+    def encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts (null: empty) one after another, and how many each has."""
+        collects = gc.isenabled()
+        gc.disable()  # the model's tokens come in a list for each pre-token, none of them in a cycle
         try:
-            if self.spaced:
-                units[0] = self.unit(units[0], "")
-                units[1:] = map(self.inner.__getitem__, units[1:])
-                return b"".join(units)
-            return b"".join(map(self.inner.__getitem__, units))
-        except _Unsafe:
-            return self.whole(text)
+            return self._encode_all(texts)
+        finally:
+            if collects:
+                gc.enable()
+
+    def _encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        texts = pc.fill_null(texts, "")
+        if not self.known or not len(texts):
+            return self._joined([self.whole(t) for t in texts.to_pylist()])
+        odd = np.zeros(len(texts), bool)
+        for t in self.added:
+            odd |= pc.match_substring(texts, t).to_numpy(zero_copy_only=False)
+        split = pc.split_pattern(texts, " ")
+        starts, units = split.offsets.to_numpy(), split.values
+        firsts = starts[:-1]
+        numbered = units.dictionary_encode()
+        number, told = numbered.indices.to_numpy().copy(), numbered.dictionary
+        if self.spaced:  # the first unit of a text follows no space
+            opening = units.take(pa.array(firsts)).dictionary_encode()
+            number[firsts] = len(told)
+            used = np.flatnonzero(np.bincount(number, minlength=len(told))[: len(told)])
+            renamed = np.zeros(len(told) + 1, number.dtype)
+            renamed[used] = np.arange(len(used))
+            number, told = renamed[number], told.take(pa.array(used))
+            number[firsts] = len(told) + opening.indices.to_numpy()
+        ids, count, unsafe = self.inner(told)
+        if self.spaced:
+            first = opening.dictionary.to_pylist()
+            made, n = self._joined(list(chain.from_iterable(self.make(first[at : at + SOME], "") for at in range(0, len(first), SOME))))
+            ids, count, unsafe = np.concatenate((ids, made)), np.concatenate((count, n)), np.concatenate((unsafe, np.zeros(len(n), bool)))
+        if unsafe.any():
+            odd |= np.logical_or.reduceat(unsafe[number], firsts)
+        # an array of 64-bit offsets: the ids of one long text may take more than 2 GB
+        offsets = np.zeros(len(count) + 1, np.int64)
+        np.cumsum(4 * count, out=offsets[1:])
+        flat = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(count), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(ids, "<u4"))])
+        flat = flat.take(pa.array(number))
+        ends = np.frombuffer(flat.buffers()[1], np.int64, len(number) + 1)[starts] // 4
+        ids = np.frombuffer(flat.buffers()[2], "<u4", ends[-1]) if ends[-1] else np.zeros(0, "<u4")
+        if not odd.any():
+            return ids, np.diff(ends)
+        return self._joined([self.whole(texts[k].as_py()) if odd[k] else ids[a:b].tobytes() for k, (a, b) in enumerate(pairwise(ends.tolist()))])
+
+    @staticmethod
+    def _joined(coded: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        return np.frombuffer(b"".join(coded), "<u4"), np.array([len(c) // 4 for c in coded], np.int64)
 
 
 _ENCODERS: dict[str, Encoder] = {}

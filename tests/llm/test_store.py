@@ -1,10 +1,15 @@
 """Token stores that are not whole, wide ids, and checksums against ids put together again."""
 
-import pytest
+import gc
+import tracemalloc
+
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
-from plexwell.llm import token_store
+from plexwell.llm import token_store, tokens
 
 from .test_operators import frame, prose
 
@@ -43,3 +48,35 @@ def test_store_of_all_small_documents(spark):
     crc = F.crc32(F.unhex(F.array_join(F.transform("ids", lambda i: F.concat(*(F.lpad(F.hex(F.shiftright(i, 8 * k).bitwiseAND(255)), 2, "0") for k in range(4)))), "")))
     want = {(r[0], r[1], r[2], r[3]) for r in token_store.read_ids(store).select("doc_id", "start", F.size("ids"), crc).collect()}
     assert {tuple(r) for r in token_store.read_back(store).collect()} == want
+
+
+def test_encoder_of_batches(monkeypatch):
+    """Batches equal the library text by text, also when the tables of units are full again and again."""
+    rng = np.random.default_rng(7)
+    syllables = ["the", "qu", "öß", "x1", "n't", ".\n", "İ", "ŉ", "\t", ",", "日", "zz"]
+    words = ["".join(rng.choice(syllables, rng.integers(1, 9))) for _ in range(400)] + ["", "é" * 12, "é" * 12 + "a", "b" * 24, "b" * 25, "a\0", "a"]
+    texts = [" ".join(rng.choice(words, n)) for n in (0, 1, 2, 30, 300)] + [" ".join(words), " ".join(words[400:][::-1]), None, "", "<|endoftext|>", "b" * 24]
+    texts += [w + " " + v for w, v in zip(words, words[1:])]
+    for slots, pieces in ((1 << 20, 30_000), (32, 8)):
+        monkeypatch.setattr(tokens, "SLOTS", slots)
+        monkeypatch.setattr(tokens, "PIECES", pieces)
+        monkeypatch.setattr(tokens, "SOME", slots)
+        for name in (BYTES, public_tokenizers.path("word_bpe_49k.json")):
+            e = tokens.Encoder(name)
+            want = [e.whole(t or "") for t in texts]
+            for _ in range(2):
+                ids, counts = e.encode_all(pa.array(["cut off", *texts]).slice(1))
+                assert ids.tobytes() == b"".join(want) and counts.tolist() == [len(w) // 4 for w in want]
+            assert e.units.young.used <= 0.7 * slots and e.units.old.used <= 0.7 * slots
+
+
+def test_kept_units_take_little_memory():
+    """A worker of the pipeline keeps them beside what other stages left: arrays, not two objects and a place in a dict for each."""
+    e = tokens.Encoder(BYTES)
+    text = " ".join(f"u{chr(97 + k % 26)}{chr(97 + k // 26 % 26)}w{k}" for k in range(150_000))
+    tracemalloc.start()
+    e.encode(text)
+    gc.collect()
+    kept = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert kept < 135 * 150_000
