@@ -40,17 +40,29 @@ _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 @contextmanager
-def freeing(spark: SparkSession):
-    """Shuffle files of a write within are deleted when it ends: what is written is read, never computed again."""
-    before = spark.conf.get(_CLEANUP, None)
-    spark.conf.set(_CLEANUP, "true")
+def holding(spark: SparkSession, key: str, value: str):
+    """A setting of the session that holds within."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
     try:
         yield
     finally:
         if before is None:
-            spark.conf.unset(_CLEANUP)
+            spark.conf.unset(key)
         else:
-            spark.conf.set(_CLEANUP, before)
+            spark.conf.set(key, before)
+
+
+def freeing(spark: SparkSession):
+    """Shuffle files of a write within are deleted when it ends: what is written is read, never computed again."""
+    return holding(spark, _CLEANUP, "true")
+
+
+def short_batches(spark: SparkSession, rows: int):
+    """Batches of what is written within have ``rows`` rows at most: executor and worker each hold them whole."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    told = int(spark.conf.get(key))
+    return holding(spark, key, str(rows if told <= 0 else min(rows, told)))
 
 
 class Scratch:

@@ -20,9 +20,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, cut_batches, giving_back
+from .common import Scratch, cut_batches, giving_back, short_batches
 from .tokens import encoder
 
+#: Less of all that a worker holds than ``op1`` needs for its time: places for kept units, bytes of text and rows at a time.
+SLOTS, CUT_BYTES, CUT_ROWS = 1 << 19, 4 << 20, 1000
 _PIECES = "part int, doc_id long, piece int, start long, length int, ids_crc32 long, nth long"
 
 
@@ -95,8 +97,8 @@ def placements(patterns: list[tuple[Counter, int]]) -> np.ndarray:
 
 def _cut(path: str, end_id: int, capacity: int):
     def run(batches):
-        enc, part, nth = encoder(path), TaskContext.get().partitionId(), Counter()
-        for batch in cut_batches(batches, 1):
+        enc, part, nth = encoder(path, SLOTS), TaskContext.get().partitionId(), Counter()
+        for batch in cut_batches(batches, 1, CUT_BYTES):
             cols: list[list] = [[] for _ in range(7)]
             found, counts = enc.encode_all(batch.column(1))
             ends = np.cumsum(counts)
@@ -134,7 +136,8 @@ def _place(table: np.ndarray):
 def pack(spark: SparkSession, docs: DataFrame, path: str, capacity: int = 2048, end_id: int = 0) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset of every piece of ``docs`` (doc_id, text)."""
     scratch = Scratch(spark, "packing")
-    pieces = scratch.table(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(giving_back(_cut(path, end_id, capacity)), _PIECES), "pieces")
+    with short_batches(spark, CUT_ROWS):
+        pieces = scratch.table(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(giving_back(_cut(path, end_id, capacity)), _PIECES), "pieces")
     # a length may hold a third of all pieces: tasks number their own, and only their counts are summed by length
     counts = pieces.groupBy("part", "length").agg(F.count("*").alias("n"))
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)

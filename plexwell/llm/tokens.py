@@ -21,7 +21,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Units of up to WIDTH bytes are kept, in two tables of SLOTS places (32 bytes each) for as many entries as LOAD of them; MOST_IDS: ids of an entry at most.
-#: So both take 64 MB and 88 MB at worst for ids (measured: 3.5 ids a unit, 20 MB). Other pre-tokens: at most PIECES in each of two dicts, of 280 bytes at most.
+#: So both take 64 MB and 88 MB at worst for ids (about 20 MB at 3.5 ids a unit). Other pre-tokens: at most PIECES in each of two dicts, of 280 bytes at most.
 WIDTH, SLOTS, LOAD, MOST_IDS, PIECES = 24, 1 << 20, 0.7, 15, 30_000
 #: Units that are told at a time.
 SOME = 16384
@@ -107,8 +107,8 @@ class _Table:
 class _Units:
     """Two tables: when the young one is full, it replaces the old one, and what is used comes back."""
 
-    def __init__(self):
-        self.young, self.old = _Table(), _Table()
+    def __init__(self, slots: int):
+        self.most, self.young, self.old = int(LOAD * slots), _Table(), _Table()
 
     def get(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of the texts one after another, how many each has, and which are not kept (0 ids)."""
@@ -139,7 +139,7 @@ class _Units:
         self._add(keys[told], ids[np.repeat(told, count)], count[told])
 
     def _add(self, keys: np.ndarray, ids: np.ndarray, count: np.ndarray) -> None:
-        most = int(LOAD * SLOTS)
+        most = self.most
         if self.young.used + len(keys) > most:
             self.young, self.old = _Table(), self.young
         self.young.add(keys[:most], ids[: count[:most].sum()], count[:most])
@@ -148,7 +148,7 @@ class _Units:
 class Encoder:
     """Ids as little-endian unsigned 32-bit integers, without added special tokens."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, slots: int | None = None):
         import regex
         from tokenizers import Tokenizer
 
@@ -173,7 +173,7 @@ class Encoder:
         self.known = spec.get("added_tokens") is not None and (
             split is not None or pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space")
         )
-        self.units, self.pieces, self.pieces_before = _Units(), {}, {}
+        self.units, self.pieces, self.pieces_before = _Units(slots or SLOTS), {}, {}
         self.tokens = self.model.tokenize
 
     def whole(self, text: str) -> bytes:
@@ -323,11 +323,11 @@ class Encoder:
         return np.frombuffer(b"".join(coded), "<u4"), np.array([len(c) // 4 for c in coded], np.int64)
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple[str, int], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
-    """One encoder for each file and worker process."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+def encoder(path: str, slots: int = SLOTS) -> Encoder:
+    """One encoder for each file, size of its tables and worker process."""
+    if (path, slots) not in _ENCODERS:
+        _ENCODERS[path, slots] = Encoder(path, slots)
+    return _ENCODERS[path, slots]

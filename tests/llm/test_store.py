@@ -9,7 +9,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from plexwell.llm import token_store, tokens
+from plexwell.llm import packing, token_store, tokens
 
 from .test_operators import frame, prose
 
@@ -80,3 +80,15 @@ def test_kept_units_take_little_memory():
     kept = tracemalloc.get_traced_memory()[0]
     tracemalloc.stop()
     assert kept < 135 * 150_000
+
+
+def test_packing_takes_short_batches(spark, monkeypatch):
+    """Few rows at a time while pieces are cut; the session's own setting holds again after."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before, path = spark.conf.get(key), public_tokenizers.path("word_bpe_49k.json")
+    seen = []
+    table = packing.Scratch.table
+    monkeypatch.setattr(packing.Scratch, "table", lambda self, df, name: (seen.append((name, int(spark.conf.get(key)))), table(self, df, name))[1])
+    docs = frame(spark, [(k, "a few words") for k in range(3000)])
+    assert packing.pack(spark, docs, path).count() == 3000
+    assert dict(seen)["pieces"] <= 1000 and spark.conf.get(key) == before
