@@ -20,6 +20,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -240,41 +241,76 @@ def _times(a: int, b: int) -> int:
     return out
 
 
+def _times_all(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``_times`` of many pairs."""
+    out, b = np.zeros_like(a), b.copy()
+    for k in range(31, -1, -1):
+        out ^= b * (a >> np.uint32(k) & np.uint32(1))
+        b = (b >> np.uint32(1)) ^ np.uint32(0xEDB88320) * (b & np.uint32(1))
+    return out
+
+
+class _Shifts:
+    """``crc_shift`` of numbers of ids, as that of the nearest multiple of NEAR below and of the rest."""
+
+    NEAR = 1024
+
+    def __init__(self):
+        self.near, self.far, self.step = self._powers([1 << 31], crc_shift(4), self.NEAR), [1 << 31], crc_shift(4 * self.NEAR)
+
+    @staticmethod
+    def _powers(known: list[int], step: int, n: int) -> list[int]:
+        while len(known) < n:
+            known.append(_times(known[-1], step))
+        return known
+
+    def apply(self, crc: np.ndarray, n_ids: np.ndarray) -> np.ndarray:
+        """Each checksum's share in that of a text in which so many ids come after its own."""
+        high, low = np.divmod(n_ids, self.NEAR)
+        self._powers(self.far, self.step, int(high.max(initial=0)) + 1)
+        out, far = _times_all(crc, np.array(self.near, np.uint32)[low]), np.flatnonzero(high)
+        out[far] = _times_all(out[far], np.array(self.far, np.uint32)[high[far]])
+        return out
+
+
 def _chunk_facts(narrow: bool):
     def run(batches):
         for batch in batches:
-            out = {"digest": [], "n": [], "crc": []}
-            for key, payload in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                if digest(payload) != key:
+            keys, crcs, sizes = batch.column(0).to_pylist(), [], []
+            for key, payload in zip(keys, batch.column(1).to_pylist(), strict=True):
+                if blake2b(payload, digest_size=DIGEST_BYTES).digest() != key:
                     raise ValueError(f"chunk {key.hex()} does not hold what its address says")
-                wide = np.frombuffer(payload, "<u2").astype("<u4").tobytes() if narrow else payload
-                out["digest"].append(key)
-                out["n"].append(len(wide) // 4)
-                out["crc"].append(zlib.crc32(wide))
-            yield _batch(out, "digest binary, n int, crc long")
+                wide = np.frombuffer(payload, "<u2").astype("<u4") if narrow else payload
+                sizes.append(len(payload) // (2 if narrow else 4))
+                crcs.append(zlib.crc32(wide))
+            yield _batch({"digest": keys, "n": sizes, "crc": crcs}, "digest binary, n int, crc long")
 
     return run
 
 
 def _verify(batches):
     """Documents put together from their chunks: lengths and Merkle root must be those of the recipe."""
-    shifts: dict[int, int] = {}
+    shifts = _Shifts()
     for batch in batches:
-        x = batch.to_pydict()
-        crcs = []
-        for found, n_tokens, root in zip(x["found"], x["n_tokens"], x["root"], strict=True):
-            if found is None or any(f["n"] is None for f in found):
-                raise ValueError("a document's chunk is not in the store")
-            found = sorted((f["pos"], f["n"], f["crc"], f["digest"]) for f in found)
-            if sum(f[1] for f in found) != n_tokens or merkle([f[3] for f in found]) != root:
-                raise ValueError("a document does not match its recipe")
-            crc = 0
-            for _, n, part, _ in found:
-                if n not in shifts:
-                    shifts[n] = crc_shift(4 * n)
-                crc = _times(crc, shifts[n]) ^ part if crc else part
-            crcs.append(crc)
-        yield pa.record_batch([batch.column(0), batch.column(1), batch.column(2), pa.array(crcs, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
+        if not batch.num_rows:
+            continue
+        found = batch.column(4)
+        each = pc.fill_null(pc.list_value_length(found), 0).to_numpy()
+        pos, n, crc, keys = found.flatten().flatten()
+        if not each.all() or n.null_count:
+            raise ValueError("a document's chunk is not in the store")
+        doc = np.repeat(np.arange(len(each)), each)
+        order = np.lexsort((pos.to_numpy(), doc))
+        n, crc, keys = n.to_numpy()[order].astype(np.int64), crc.to_numpy()[order].astype(np.uint32), keys.take(pa.array(order)).to_pylist()
+        ends = np.cumsum(each)
+        sums, last = np.add.reduceat(n, ends - each), np.cumsum(n)
+        bounds = ends.tolist()
+        roots = [merkle(keys[a:b]) for a, b in zip([0, *bounds], bounds, strict=False)]
+        if sums.tolist() != batch.column(2).to_pylist() or roots != batch.column(3).to_pylist():
+            raise ValueError("a document does not match its recipe")
+        # a document's checksum is the sum of its chunks', each moved by the ids that come after it
+        crcs = np.bitwise_xor.reduceat(shifts.apply(crc, last[ends - 1][doc] - last), ends - each)
+        yield pa.record_batch([batch.column(0), batch.column(1), batch.column(2), pa.array(crcs.astype(np.int64))], names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
 
 def read_back(store: TokenStore) -> DataFrame:

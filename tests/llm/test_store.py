@@ -2,6 +2,7 @@
 
 import gc
 import tracemalloc
+import zlib
 
 import numpy as np
 import public_tokenizers
@@ -70,6 +71,50 @@ def test_encoder_of_batches(monkeypatch):
             assert e.units.young.used <= 0.7 * slots and e.units.old.used <= 0.7 * slots
 
 
+def test_plain_units_are_cut_in_arrays():
+    """Units of letters, digits, marks and single line ends need no regex each; all others still get one, and ids are the library's."""
+    rng = np.random.default_rng(11)
+    signs = [*map(chr, range(33, 0x250)), "\n", "\n", ".", ",", *"abcdefghij", "0", "9", "\t", "\r", "\u3000", "日", "👍", "ſ", "\0"]
+    units = ["".join(rng.choice(signs, rng.integers(1, 12))) for _ in range(30_000)] + ["", "a\n", "\na", "a\n\nb", "×", "a÷b", "Öß.\nÄ", "x\n\u3000", "it's", "b" * 40]
+    e = tokens.Encoder(BYTES)
+    runs, per, plain = tokens._runs(pa.array(units).slice(3))
+    want = [e.find(" " + u) for u, ok in zip(units[3:], plain, strict=True) if ok]
+    assert runs.to_pylist() == [p.removeprefix(" ") for w in want for p in w] and per.tolist() == list(map(len, want)) and plain.sum() > 2000
+    texts = ["x " + u + " y" for u in units] + ["x " + u for u in units]
+    ids, counts = e.encode_all(pa.array(texts))
+    told = [e.whole(t) for t in texts]
+    assert ids.tobytes() == b"".join(told) and counts.tolist() == [len(t) // 4 for t in told]
+    asked = []
+    fresh = tokens.Encoder(BYTES)
+    fresh.cut = lambda unit, prefix: (asked.append(unit), tokens.Encoder.cut(fresh, unit, prefix))[1]
+    fresh.encode("It was, übung.\nNext 12%%% a1b2, (end) it's")
+    assert asked == ["it's"]
+
+
+def test_checksums_of_many_chunks_are_put_together_in_arrays(monkeypatch):
+    """No product of polynomials in Python for each chunk, and the checksum is that of all ids."""
+    rng = np.random.default_rng(5)
+    docs = [[rng.integers(0, 50_000, n).astype("<u4") for n in rng.integers(1, 1025, k)] for k in (1, 2, 3000, 7)]
+    calls, times = [], token_store._times
+    monkeypatch.setattr(token_store, "_times", lambda a, b: (calls.append(1), times(a, b))[1])
+    found, sizes, roots = [], [], []
+    for k, doc in enumerate(docs):
+        keys = [token_store.digest(c.tobytes()) for c in doc]
+        parts = [{"pos": p, "n": len(c), "crc": zlib.crc32(c), "digest": x} for p, (c, x) in enumerate(zip(doc, keys, strict=True))]
+        found.append([parts[p] for p in rng.permutation(len(parts))])
+        sizes.append(sum(map(len, doc)))
+        roots.append(token_store.merkle(keys))
+    kind = pa.list_(pa.struct([("pos", pa.int32()), ("n", pa.int32()), ("crc", pa.int64()), ("digest", pa.binary())]))
+    ids = pa.array(range(4), pa.int64())
+    batch = pa.record_batch([ids, ids, pa.array(sizes, pa.int64()), pa.array(roots), pa.array(found, kind)], names=["doc_id", "start", "n_tokens", "root", "found"])
+    (out,) = token_store._verify([batch])
+    assert out.column(3).to_pylist() == [zlib.crc32(b"".join(c.tobytes() for c in doc)) for doc in docs]
+    assert out.slice(1).num_rows == 3 and [b.column(3)[0].as_py() for b in token_store._verify([batch.slice(2, 1)])] == [out.column(3)[2].as_py()]
+    calls.clear()
+    list(token_store._verify([batch, batch]))
+    assert len(calls) < 2600  # 1023 and one for each 1024 ids of the longest document, not one or more for each of 6,026 chunks
+
+
 def test_kept_units_take_little_memory():
     """A worker of the pipeline keeps them beside what other stages left: arrays, not two objects and a place in a dict for each."""
     e = tokens.Encoder(BYTES)
